@@ -17,6 +17,7 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -71,7 +72,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = BLOC
     """
     for batch in batches:
         start = held = 0
-        sizes = pa.compute.binary_length(batch.column(column)).fill_null(0).to_pylist()
+        sizes = pc.binary_length(batch.column(column)).fill_null(0).to_pylist()
         for row, size in enumerate(sizes):
             if row > start and held + size > limit:
                 yield batch.slice(start, row - start)
