@@ -7,21 +7,30 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, pii, token_counts
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 #: Where the public vocabulary files lie; a parameter of every tokenizing operator.
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def op1_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), BYTE_BPE, public_tokenizers.PATTERN)
 
 
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(documents(spark, sf_dir), WORD_BPE)
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(documents(spark, sf_dir)).drop("redacted")
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_level_bpe,)}
+    return {f.__name__: f for f in (op1_byte_level_bpe, op6_token_counts, op8_pii)}
 
 
 def oracle_sql() -> dict[str, str]:
