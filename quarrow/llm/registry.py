@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, pii, token_counts
+from . import bpe, fingerprints, gif_media, mixing, pii, secrets, token_counts
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,17 +21,44 @@ def op1_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(documents(spark, sf_dir), BYTE_BPE, public_tokenizers.PATTERN)
 
 
+def op2_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
+def op3_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.words_taken(documents(spark, sf_dir))
+
+
+def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_spans(documents(spark, sf_dir))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), WORD_BPE)
 
 
+def op7_gif_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gif_media.stored_texts(documents(spark, sf_dir))
+
+
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(documents(spark, sf_dir)).drop("redacted")
 
 
+_QUERIES = (
+    op1_byte_level_bpe,
+    op2_document_fingerprints,
+    op3_source_mixing,
+    op4_secret_scan,
+    op6_token_counts,
+    op7_gif_media,
+    op8_pii,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_byte_level_bpe, op6_token_counts, op8_pii)}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_source_mixing": mixing.ORACLE_SQL}
