@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, gif_media, mixing, pii, secrets, token_counts
+from . import bpe, fingerprints, gif_media, mixing, pii, quality, secrets, token_counts
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,6 +45,10 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(documents(spark, sf_dir)).drop("redacted")
 
 
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.resampled(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 _QUERIES = (
     op1_byte_level_bpe,
     op2_document_fingerprints,
@@ -53,6 +57,7 @@ _QUERIES = (
     op6_token_counts,
     op7_gif_media,
     op8_pii,
+    op9_quality_classifier,
 )
 
 
