@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, gif_media, mixing, pii, quality, secrets, token_counts
+from . import bpe, fingerprints, gif_media, jaccard_join, mixing, pii, quality, secrets, token_counts
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,10 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.resampled(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op10_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.clusters(documents(spark, sf_dir))
+
+
 _QUERIES = (
     op1_byte_level_bpe,
     op2_document_fingerprints,
@@ -58,6 +62,7 @@ _QUERIES = (
     op7_gif_media,
     op8_pii,
     op9_quality_classifier,
+    op10_ngram_jaccard_join,
 )
 
 
