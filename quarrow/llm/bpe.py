@@ -324,9 +324,15 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
 
 def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, n_tokens, ids_sha256, decoded_sha256)`` of encoding and decoding."""
+    return tokenised(df, path, pattern, id_col, text_col).drop("ids")
+
+
+def tokenised(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """As :func:`round_trip`, with the packed ``ids``."""
     both = decode(encode(df, path, pattern, id_col, text_col), path, id_col)
     return both.select(
         F.col(id_col),
+        "ids",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),

@@ -12,6 +12,7 @@ Conventions that every operator of this subpackage follows:
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -54,9 +55,16 @@ def written(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(target)
     path = spark._jvm.org.apache.hadoop.fs.Path(target)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
+    released(spark)
     return spark.read.schema(df.schema).parquet(target)
 
 
+def released(spark: SparkSession) -> None:
+    """Let the context's cleaner delete shuffle files that no plan refers to any more."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def dropped(df: DataFrame) -> None:
     """Remove a table made by :func:`written` that no later plan reads."""
     spark = df.sparkSession

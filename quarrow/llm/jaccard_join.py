@@ -258,6 +258,21 @@ def clusters(df: DataFrame, width: int = 3, threshold: Fraction = Fraction(9, 10
     return rows.select("id", "size", "f1", "f2").join(named, ["f1", "f2"], "left").select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
+def one_of_each(df: DataFrame, width: int = 5, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, all columns, of which one in each group of near copies stays.
+
+    The one with the smallest id stays (of equal ids, any one). Rows without
+    words are in no group and stay.
+    """
+    names = df.columns
+    base = written(df.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("document")), "join-documents")
+    found = clusters(base.select("row", F.col(f"document.`{text_col}`").alias("text")), width, threshold, "row", "text")
+    numbered = base.select("row", F.col(f"document.`{id_col}`").alias("id")).join(found, "row")
+    first = numbered.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "row")).alias("first"))
+    kept = written(first.select(F.col("first.row").alias("row")), "join-kept")
+    return base.join(kept, "row", "left_semi").select("document.*")
+
+
 def _needed(data: DataFrame, width: int, members: DataFrame) -> DataFrame:
     """``(node, shingles)`` of the nodes in the index, written."""
     return written(_whole_sets(data, width).join(members, ["f1", "f2"]).select("node", "shingles").dropDuplicates(["node"]), "join-sets")

@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import blocks, id_and_text
 
@@ -239,3 +240,17 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     data = id_and_text(df, id_col, text_col)
     schema = f"`{id_col}` {data.schema['id'].dataType.simpleString()}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, n_added long, spans string, redacted string"
     return data.mapInArrow(run, schema)
+
+
+def without_personal_data(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``df`` with all spans in ``text_col`` replaced by their kinds; nulls stay null."""
+
+    @F.arrow_udf("string")
+    def clean(texts: pa.Array) -> pa.Array:
+        out = []
+        for text in texts.to_pylist():
+            spans = [s for part in find(text) for s in part] if text else []
+            out.append(redacted(text, spans) if spans else text)
+        return pa.array(out, pa.string())
+
+    return df.withColumn(text_col, clean(F.col(text_col)))

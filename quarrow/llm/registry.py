@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprints, gif_media, jaccard_join, mixing, pii, quality, secrets, token_counts
+from . import bpe, fingerprints, gif_media, jaccard_join, mixing, pii, quality, secrets, suffix_dedup, token_counts
 from .common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -33,6 +33,10 @@ def op4_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.secret_spans(documents(spark, sf_dir))
 
 
+def op5_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.removed_repeats(documents(spark, sf_dir))
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(documents(spark, sf_dir), WORD_BPE)
 
@@ -58,6 +62,7 @@ _QUERIES = (
     op2_document_fingerprints,
     op3_source_mixing,
     op4_secret_scan,
+    op5_suffix_array_dedup,
     op6_token_counts,
     op7_gif_media,
     op8_pii,
