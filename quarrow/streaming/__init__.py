@@ -1,0 +1 @@
+"""Delivery of results in batches, and queries over unbounded input."""
