@@ -1,0 +1,5 @@
+"""Relational operators as functions on DataFrames."""
+
+from .relational import batch_counts, five_aggregates, null_statistics, ordered, series, top_k
+
+__all__ = ["batch_counts", "five_aggregates", "null_statistics", "ordered", "series", "top_k"]

@@ -1,0 +1,5 @@
+"""Where rows come from."""
+
+from .tables import TABLES, catalog, register, table
+
+__all__ = ["TABLES", "catalog", "register", "table"]
