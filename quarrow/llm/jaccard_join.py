@@ -29,6 +29,9 @@ from .words import distinct, mixed, shingles, words_of
 
 #: Buckets of the table of shingle counts; its size is fixed and so is the broadcast.
 BUCKETS = 1 << 20
+#: Marks of nodes whose sets are needed; of fixed size, too. Where it fills up, it
+#: lets sets through that are then dropped by a join.
+MARKS = 1 << 23
 #: Buckets in one row while tables are added up.
 CHUNK = 1 << 14
 #: Most shared prefix shingles that a node may ask for.
@@ -59,6 +62,30 @@ def _sets(block: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
     return distinct(*shingles(words_of(block.column(1)), width))
 
 
+def _totals(partial: DataFrame, width: int) -> np.ndarray:
+    """The sum of tables that tasks have sent in chunks: ``(chunk, counts)`` rows of 16 or 32 bits."""
+
+    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(CHUNK, dtype=np.uint64)
+        for batch in batches:
+            for packed in batch.column(1).to_pylist():
+                table += np.frombuffer(packed, np.uint16 if len(packed) == 2 * CHUNK else np.uint32)
+        yield pa.record_batch([pa.array([key[0].as_py()], pa.int32()), pa.array([np.minimum(table, (1 << 32) - 1).astype(np.uint32).tobytes()])], names=["chunk", "counts"])
+
+    table = np.zeros(width, dtype=np.uint32)
+    for row in partial.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect():  # width / CHUNK rows of fixed size
+        table[row["chunk"] * CHUNK :][:CHUNK] = np.frombuffer(row["counts"], np.uint32)
+    return table
+
+
+def _chunks(table: np.ndarray) -> pa.RecordBatch:
+    """A task's table as chunks, empty ones left out."""
+    chunks = [table[k : k + CHUNK] for k in range(0, len(table), CHUNK)]
+    held = [k for k, c in enumerate(chunks) if c.any()]
+    packed = [chunks[k].astype(np.uint16 if chunks[k].max() < 1 << 16 else np.uint32).tobytes() for k in held]
+    return pa.record_batch([pa.array(held, pa.int32()), pa.array(packed, pa.binary())], names=["chunk", "counts"])
+
+
 def _shingle_counts(data: DataFrame, width: int) -> np.ndarray:
     """How many documents' sets have a shingle of each bucket, over all documents."""
 
@@ -67,23 +94,25 @@ def _shingle_counts(data: DataFrame, width: int) -> np.ndarray:
         for block in blocks(batches):
             h, _ = _sets(block, width)
             table += np.bincount((h % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS).astype(np.uint32)
-        chunks = [table[k : k + CHUNK] for k in range(0, BUCKETS, CHUNK)]
-        held = [k for k, c in enumerate(chunks) if c.any()]
-        packed = [chunks[k].astype(np.uint16 if chunks[k].max() < 1 << 16 else np.uint32).tobytes() for k in held]
-        yield pa.record_batch([pa.array(held, pa.int32()), pa.array(packed, pa.binary())], names=["chunk", "counts"])
+        yield _chunks(table)
 
-    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(CHUNK, dtype=np.uint64)
+    return _totals(data.mapInArrow(count, "chunk int, counts binary"), BUCKETS)
+
+
+def _filter(nodes: DataFrame) -> np.ndarray:
+    """Marks of the nodes' hashes ``f1`` in a table of fixed size; other hashes may fall on marks as well."""
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(MARKS, dtype=np.uint32)
         for batch in batches:
-            for packed in batch.column(1).to_pylist():
-                table += np.frombuffer(packed, np.uint16 if len(packed) == 2 * CHUNK else np.uint32)
-        yield pa.record_batch([pa.array([key[0].as_py()], pa.int32()), pa.array([np.minimum(table, (1 << 32) - 1).astype(np.uint32).tobytes()])], names=["chunk", "counts"])
+            table[_mark(batch.column(0).to_numpy(zero_copy_only=False))] = 1
+        yield _chunks(table)
 
-    counted = data.mapInArrow(count, "chunk int, counts binary").groupBy("chunk").applyInArrow(add, "chunk int, counts binary")
-    table = np.zeros(BUCKETS, dtype=np.uint32)
-    for row in counted.collect():  # BUCKETS / CHUNK rows of fixed size
-        table[row["chunk"] * CHUNK :][:CHUNK] = np.frombuffer(row["counts"], np.uint32)
-    return table
+    return np.packbits(_totals(nodes.select("f1").coalesce(8).mapInArrow(mark, "chunk int, counts binary"), MARKS) > 0)
+
+
+def _mark(f1: np.ndarray) -> np.ndarray:
+    return (f1.view(np.uint64) % np.uint64(MARKS)).astype(np.int64)
 
 
 def _prefixes(h: np.ndarray, first: np.ndarray, counts: np.ndarray, common: float, like: Similarity) -> tuple[list[np.ndarray], np.ndarray]:
@@ -116,10 +145,7 @@ def _entries(data: DataFrame, counts: np.ndarray, like: Similarity) -> DataFrame
             h, first = _sets(block, like.width)
             sizes = np.diff(first)
             some = sizes > 0
-            sums = []
-            for salt in (0x51, 0xA7):
-                line = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h + np.uint64(salt)))])
-                sums.append(mixed(line[first[1:]] - line[first[:-1]] + sizes.astype(np.uint64)).view(np.int64))
+            sums = _hashes(h, first)
             prefix, matches = _prefixes(h, first, shared.value, common, like)
             flat = np.concatenate(prefix) if len(prefix) else np.zeros(0, np.uint64)
             ends = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
@@ -130,20 +156,27 @@ def _entries(data: DataFrame, counts: np.ndarray, like: Similarity) -> DataFrame
     return data.mapInArrow(run, f"id {data.schema['id'].dataType.simpleString()}, size long, f1 long, f2 long, matches long, prefix array<long>")
 
 
-def _whole_sets(data: DataFrame, width: int) -> DataFrame:
-    """``(f1, f2, shingles)`` of every row with words."""
+def _hashes(h: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of each set, which stand for it."""
+    out = []
+    for salt in (0x51, 0xA7):
+        line = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h + np.uint64(salt)))])
+        out.append(mixed(line[first[1:]] - line[first[:-1]] + np.diff(first).astype(np.uint64)).view(np.int64))
+    return out
+
+
+def _whole_sets(data: DataFrame, width: int, marks: np.ndarray) -> DataFrame:
+    """``(f1, f2, shingles)`` of rows with words whose hash is marked."""
+    shared = data.sparkSession.sparkContext.broadcast(marks)  # MARKS bits, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
             h, first = _sets(block, width)
-            sizes = np.diff(first)
-            sums = []
-            for salt in (0x51, 0xA7):
-                line = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h + np.uint64(salt)))])
-                sums.append(mixed(line[first[1:]] - line[first[:-1]] + sizes.astype(np.uint64)).view(np.int64))
+            f1, f2 = _hashes(h, first)
+            at = _mark(f1)
+            keep = (np.diff(first) > 0) & (shared.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
             lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))
-            rows = pa.record_batch([pa.array(sums[0]), pa.array(sums[1]), lists], names=["f1", "f2", "shingles"])
-            yield rows.filter(pa.array(sizes > 0))
+            yield pa.record_batch([pa.array(f1), pa.array(f2), lists], names=["f1", "f2", "shingles"]).filter(pa.array(keep))
 
     return data.mapInArrow(run, "f1 long, f2 long, shingles array<long>")
 
@@ -213,11 +246,10 @@ def clusters(df: DataFrame, width: int = 3, threshold: Fraction = Fraction(9, 10
     rows = written(_entries(data, counts, like), "join-rows")
     classes = rows.where("f1 is not null").groupBy("f1", "f2").agg(F.first("size").alias("size"), F.first("matches").alias("matches"), F.min("id").alias("least"), F.first("prefix").alias("prefix"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "join-classes")
-    spread = classes.select("node", "size", "matches", F.explode("prefix").alias("token"))
+    spread = classes.select("node", F.col("size").cast("int").alias("size"), F.col("matches").cast("short").alias("matches"), F.explode("prefix").alias("token"))
     again = spread.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
     live = written(spread.join(again, "token"), "join-index")
     labels = written(live.select("node").distinct().withColumn("component", F.col("node")), "labels")
-    members = classes.join(labels.select("node"), "node").select("node", "f1", "f2")
     sets = None
     for step in range(ROUNDS + 1):
         placed = live.join(labels, "node")
@@ -242,8 +274,10 @@ def clusters(df: DataFrame, width: int = 3, threshold: Fraction = Fraction(9, 10
             pairs = mine.join(hubs, "token").where("a <> b")
         pairs = pairs.where(like.sizes_fit("na", "nb")).select("a", "b", F.least("ma", "mb").alias("asked"))
         pairs = written(_asked(pairs), "join-pairs")
-        if sets is None:
-            sets = _needed(data, width, members)
+        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        nodes = nodes.join(sets, "node", "left_anti") if sets is not None else nodes
+        more = _needed(data, width, written(nodes.join(classes, "node").select("node", "f1", "f2"), "join-needed"))
+        sets = more if sets is None else sets.union(more)
         edges = _similar(pairs, sets, like)
         ends = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
         others = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
@@ -273,6 +307,7 @@ def one_of_each(df: DataFrame, width: int = 5, threshold: Fraction = Fraction(4,
     return base.join(kept, "row", "left_semi").select("document.*")
 
 
-def _needed(data: DataFrame, width: int, members: DataFrame) -> DataFrame:
-    """``(node, shingles)`` of the nodes in the index, written."""
-    return written(_whole_sets(data, width).join(members, ["f1", "f2"]).select("node", "shingles").dropDuplicates(["node"]), "join-sets")
+def _needed(data: DataFrame, width: int, nodes: DataFrame) -> DataFrame:
+    """``(node, shingles)`` of the nodes ``(node, f1, f2)``, written."""
+    found = _whole_sets(data, width, _filter(nodes)).join(nodes, ["f1", "f2"]).select("node", "shingles")
+    return written(found.groupBy("node").agg(F.first("shingles").alias("shingles")), "join-sets")
