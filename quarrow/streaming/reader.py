@@ -1,8 +1,8 @@
 """Result batches: a finite result pulled as Arrow record batches of a fixed size.
 
-Partitions are encoded to Arrow by the executors and come to the driver one at a
-time (the next one is computed meanwhile), so the driver holds a partition and a
-batch, not the result. Batches are cut anew there: all are full but the last.
+Partitions are encoded to Arrow by the executors and come to the driver a few at a
+time, in order, so the driver holds those and a batch, not the result. Batches are
+cut anew there: all are full but the last.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from ..types import delivered, to_contract
 
 #: Rows in a batch where nothing else is asked for.
 BATCH_ROWS = 200_000
+#: Partitions that are computed together, and held by the driver at most.
+AHEAD = 8
 
 
 def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -30,10 +32,17 @@ def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["ipc"])
 
 
-def arrow_batches(df: DataFrame) -> Iterator[pa.RecordBatch]:
-    """The Arrow batches of ``df`` in order of its partitions, lazily."""
-    for row in delivered(df).mapInArrow(_encoded, "ipc binary").toLocalIterator(prefetchPartitions=True):
-        yield from pa.ipc.open_stream(row["ipc"])
+def _payloads(rows: Iterator) -> list[bytes]:
+    return [bytes(row[0]) for row in rows]
+
+
+def arrow_batches(df: DataFrame, ahead: int = AHEAD) -> Iterator[pa.RecordBatch]:
+    """The Arrow batches of ``df`` in order of its partitions, ``ahead`` partitions at a time."""
+    encoded = delivered(df).mapInArrow(_encoded, "ipc binary").rdd  # jobs over chosen partitions need an RDD
+    total = encoded.getNumPartitions()
+    for first in range(0, total, ahead):
+        for payload in encoded.context.runJob(encoded, _payloads, range(first, min(first + ahead, total))):
+            yield from pa.ipc.open_stream(payload)
 
 
 def recut(batches: Iterator[pa.RecordBatch], schema: pa.Schema, rows: int) -> Iterator[pa.RecordBatch]:
