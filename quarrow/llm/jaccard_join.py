@@ -29,7 +29,7 @@ from .words import distinct, mixed, shingles, words_of
 
 #: Buckets of the table of shingle counts; its size is fixed and so is the broadcast.
 BUCKETS = 1 << 20
-#: Marks of nodes whose sets are needed; of fixed size, too. Where it fills up, it
+#: Marks of documents whose sets are needed; of fixed size, too. Where it fills up, it
 #: lets sets through that are then dropped by a join.
 MARKS = 1 << 23
 #: Buckets in one row while tables are added up.
@@ -38,7 +38,8 @@ CHUNK = 1 << 14
 MOST_MATCHES = 6
 #: Cost of comparing two sets, for each shingle, in units of one index entry.
 COMPARE = 1 / 16
-#: Star rounds at most, and remaining pairs for each index entry that end them.
+#: Star rounds at most, and remaining pairs for each index entry that end them; so
+#: does a round that leaves more than half of the pairs.
 ROUNDS, PAIRS_LEFT = 6, 4
 
 
@@ -57,6 +58,15 @@ class Similarity:
         """Whether sets of these sizes can be similar."""
         return (F.col(a) * self.den >= F.col(b) * self.num) & (F.col(b) * self.den >= F.col(a) * self.num)
 
+    def places_fit(self, a: str, b: str, pa: str, pb: str) -> Column:
+        """Whether sets that share a shingle at these places of their orders can be similar.
+
+        What both have before it and after it bounds their overlap, which needs to
+        be the threshold's share of the union.
+        """
+        most = F.least(pa, pb) + F.least(F.col(a) - F.col(pa), F.col(b) - F.col(pb))
+        return most * (self.num + self.den) >= (F.col(a) + F.col(b)) * self.num
+
 
 def _sets(block: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
     return distinct(*shingles(words_of(block.column(1)), width))
@@ -99,20 +109,22 @@ def _shingle_counts(data: DataFrame, width: int) -> np.ndarray:
     return _totals(data.mapInArrow(count, "chunk int, counts binary"), BUCKETS)
 
 
-def _filter(nodes: DataFrame) -> np.ndarray:
-    """Marks of the nodes' hashes ``f1`` in a table of fixed size; other hashes may fall on marks as well."""
+def _mark(identity: Column) -> Column:
+    """The place of an id in the table of marks."""
+    return F.pmod(F.xxhash64(identity), F.lit(MARKS)).cast("int")
+
+
+def _marks(nodes: DataFrame) -> np.ndarray:
+    """Bits at the places of the nodes' least ids; other ids may share a place."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.zeros(MARKS, dtype=np.uint32)
         for batch in batches:
-            table[_mark(batch.column(0).to_numpy(zero_copy_only=False))] = 1
+            table[batch.column(0).to_numpy(zero_copy_only=False)] = 1
         yield _chunks(table)
 
-    return np.packbits(_totals(nodes.select("f1").coalesce(8).mapInArrow(mark, "chunk int, counts binary"), MARKS) > 0)
-
-
-def _mark(f1: np.ndarray) -> np.ndarray:
-    return (f1.view(np.uint64) % np.uint64(MARKS)).astype(np.int64)
+    places = nodes.select(_mark(F.col("least")).alias("place")).coalesce(8)
+    return np.packbits(_totals(places.mapInArrow(mark, "chunk int, counts binary"), MARKS) > 0)
 
 
 def _prefixes(h: np.ndarray, first: np.ndarray, counts: np.ndarray, common: float, like: Similarity) -> tuple[list[np.ndarray], np.ndarray]:
@@ -166,19 +178,20 @@ def _hashes(h: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
 
 
 def _whole_sets(data: DataFrame, width: int, marks: np.ndarray) -> DataFrame:
-    """``(f1, f2, shingles)`` of rows with words whose hash is marked."""
+    """``(f1, f2, shingles)`` of rows with words whose ids are marked."""
     shared = data.sparkSession.sparkContext.broadcast(marks)  # MARKS bits, whatever the input
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
-            h, first = _sets(block, width)
-            f1, f2 = _hashes(h, first)
-            at = _mark(f1)
-            keep = (np.diff(first) > 0) & (shared.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)
-            lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))
-            yield pa.record_batch([pa.array(f1), pa.array(f2), lists], names=["f1", "f2", "shingles"]).filter(pa.array(keep))
+        for batch in batches:
+            at = batch.column(0).to_numpy(zero_copy_only=False)
+            marked = batch.filter(pa.array((shared.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
+            for block in blocks(iter([marked])):
+                h, first = _sets(block, width)
+                f1, f2 = _hashes(h, first)
+                lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))
+                yield pa.record_batch([pa.array(f1), pa.array(f2), lists], names=["f1", "f2", "shingles"]).filter(pa.array(np.diff(first) > 0))
 
-    return data.mapInArrow(run, "f1 long, f2 long, shingles array<long>")
+    return data.select(_mark(F.col("id")).alias("mark"), "text").mapInArrow(run, "f1 long, f2 long, shingles array<long>")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -213,7 +226,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _relabelled(labels: DataFrame, roots: DataFrame) -> DataFrame:
     on = roots.select(F.col("node").alias("component"), "root")
-    moved = labels.join(on, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    moved = labels.join(on, "component", "left").select("node", "common", F.coalesce("root", "component").alias("component"))
     return written(moved, "labels")
 
 
@@ -246,37 +259,40 @@ def clusters(df: DataFrame, width: int = 3, threshold: Fraction = Fraction(9, 10
     rows = written(_entries(data, counts, like), "join-rows")
     classes = rows.where("f1 is not null").groupBy("f1", "f2").agg(F.first("size").alias("size"), F.first("matches").alias("matches"), F.min("id").alias("least"), F.first("prefix").alias("prefix"))
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "join-classes")
-    spread = classes.select("node", F.col("size").cast("int").alias("size"), F.col("matches").cast("short").alias("matches"), F.explode("prefix").alias("token"))
+    spread = classes.select("node", F.col("size").cast("int").alias("size"), F.col("matches").cast("short").alias("matches"), F.posexplode("prefix").alias("place", "token"))
     again = spread.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
     live = written(spread.join(again, "token"), "join-index")
-    labels = written(live.select("node").distinct().withColumn("component", F.col("node")), "labels")
-    sets = None
+    labels = written(live.groupBy("node").agg(F.count("*").alias("common")).withColumn("component", F.col("node")), "labels")
+    sets = before = None
     for step in range(ROUNDS + 1):
         placed = live.join(labels, "node")
-        groups = placed.groupBy("token", "component").agg(F.count("*").alias("n"), F.min(F.struct(F.xxhash64("node", F.lit(step)).alias("by"), "node", "size", "matches")).alias("hub"))
+        # A set most of whose shingles are shared is the middle of its group; later rounds take other components by chance.
+        chance = F.xxhash64("component", F.lit(step)) if step else F.lit(0).cast("long")
+        groups = placed.groupBy("token", "component").agg(F.count("*").alias("n"), F.max(F.struct(chance.alias("by"), "common", "node", "size", "matches", "place")).alias("hub"))
         tokens = groups.groupBy("token").agg(
             F.count("*").alias("parts"), F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("within"),
-            F.max(F.struct("n", "component")).alias("major"), F.min("hub").alias("hub"),
+            F.max(F.struct("n", "component")).alias("major"), F.max("hub").alias("hub"),
         ).where("parts > 1").select("token", "all", F.col("major.component").alias("major"), F.col("major.n").alias("held"), "hub")
         tokens = written(tokens, "join-tokens")
         left = tokens.agg(F.sum((F.col("all") - F.col("held")) * F.col("all")), F.sum("all")).first()
         if left[0] is None:
             break
-        last = step == ROUNDS or left[0] <= PAIRS_LEFT * left[1]
-        mine = placed.select("token", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("matches").alias("mb"), F.col("component").alias("cb"))
+        last = step == ROUNDS or left[0] <= PAIRS_LEFT * left[1] or (before is not None and 2 * left[0] > before)
+        before = left[0]
+        mine = placed.select("token", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("matches").alias("mb"), F.col("place").alias("pb"), F.col("component").alias("cb"))
         if last:
             minor = mine.join(tokens.select("token", "major"), "token").where("cb <> major")
-            minor = minor.select("token", "major", *[F.col(c + "b").alias(c + "a") for c in "nmc"], F.col("b").alias("a"))
+            minor = minor.select("token", "major", *[F.col(c + "b").alias(c + "a") for c in "nmpc"], F.col("b").alias("a"))
             pairs = minor.join(mine, "token").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("major")) | (F.col("a") < F.col("b"))))
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "na", "nb", "ma", "mb")
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "na", "nb", "ma", "mb", "pa", "pb")
         else:
-            hubs = tokens.select("token", F.col("hub.node").alias("a"), F.col("hub.size").alias("na"), F.col("hub.matches").alias("ma"))
+            hubs = tokens.select("token", F.col("hub.node").alias("a"), F.col("hub.size").alias("na"), F.col("hub.matches").alias("ma"), F.col("hub.place").alias("pa"))
             pairs = mine.join(hubs, "token").where("a <> b")
-        pairs = pairs.where(like.sizes_fit("na", "nb")).select("a", "b", F.least("ma", "mb").alias("asked"))
+        pairs = pairs.where(like.sizes_fit("na", "nb") & like.places_fit("na", "nb", "pa", "pb")).select("a", "b", F.least("ma", "mb").alias("asked"))
         pairs = written(_asked(pairs), "join-pairs")
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         nodes = nodes.join(sets, "node", "left_anti") if sets is not None else nodes
-        more = _needed(data, width, written(nodes.join(classes, "node").select("node", "f1", "f2"), "join-needed"))
+        more = _needed(data, width, written(nodes.join(classes, "node").select("node", "f1", "f2", "least"), "join-needed"))
         sets = more if sets is None else sets.union(more)
         edges = _similar(pairs, sets, like)
         ends = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
@@ -308,6 +324,6 @@ def one_of_each(df: DataFrame, width: int = 5, threshold: Fraction = Fraction(4,
 
 
 def _needed(data: DataFrame, width: int, nodes: DataFrame) -> DataFrame:
-    """``(node, shingles)`` of the nodes ``(node, f1, f2)``, written."""
-    found = _whole_sets(data, width, _filter(nodes)).join(nodes, ["f1", "f2"]).select("node", "shingles")
+    """``(node, shingles)`` of the nodes ``(node, f1, f2, least)``, written."""
+    found = _whole_sets(data, width, _marks(nodes)).join(nodes, ["f1", "f2"]).select("node", "shingles")
     return written(found.groupBy("node").agg(F.first("shingles").alias("shingles")), "join-sets")
