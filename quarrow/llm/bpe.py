@@ -25,36 +25,50 @@ from pyspark.sql import functions as F
 from .common import blocks, id_and_text
 
 #: Pre-tokens that a worker keeps encoded; the memo starts anew beyond it.
-MEMO_ENTRIES = 400_000
+MEMO_ENTRIES = 150_000
 #: Longer pre-tokens are encoded, but not kept.
 MEMO_LENGTH = 64
 #: From this length on a word has too many merges of its own to wait for others.
 LONG_WORD = 256
 #: Windows of rising rank in the inverted index.
-WINDOWS = 24
+WINDOWS = 12
+
+
+@functools.lru_cache(maxsize=4)
+def tokens_of(path: str) -> list[bytes]:
+    """The byte strings of a rank file, by rank; a worker reads it once."""
+    with open(path, "rb") as lines:
+        pairs = [line.split() for line in lines if line.strip()]
+    tokens = [b""] * (max([int(rank) for _, rank in pairs], default=-1) + 1)
+    for token, rank in pairs:
+        tokens[int(rank)] = base64.b64decode(token)
+    return tokens
 
 
 class Ranks:
-    """A rank file: byte strings by rank, and the rank of every mergeable pair."""
+    """A rank file's tokens, and the rank of every mergeable pair."""
 
     def __init__(self, path: str):
-        with open(path, "rb") as lines:
-            pairs = [line.split() for line in lines if line.strip()]
-        self.rank = {base64.b64decode(token): int(rank) for token, rank in pairs}
-        self.token = [b""] * (max(self.rank.values(), default=-1) + 1)
-        for token, rank in self.rank.items():
-            self.token[rank] = token
-        self.byte = [self.rank[bytes([b])] for b in range(256)]
+        self.token = tokens_of(path)
         self.width = len(self.token)
+        rank = {token: k for k, token in enumerate(self.token) if token}
+        self.byte = [rank[bytes([b])] for b in range(256)]
         self.first = np.array(self.byte, dtype=np.int64)
-        self.pair: dict[int, int] = {}
-        for token, rank in self.rank.items():
+        keys, values = [], []
+        for token, merged in rank.items():
             for cut in range(1, len(token)):
-                left, right = self.rank.get(token[:cut]), self.rank.get(token[cut:])
+                left, right = rank.get(token[:cut]), rank.get(token[cut:])
                 if left is not None and right is not None:
-                    self.pair[left * self.width + right] = rank
-        self.keys = np.array(sorted(self.pair) or [-1], dtype=np.int64)
-        self.values = np.array([self.pair.get(k, -1) for k in self.keys.tolist()], dtype=np.int64)
+                    keys.append(left * self.width + right)
+                    values.append(merged)
+        order = np.argsort(np.array(keys or [-1], dtype=np.int64))
+        self.keys = np.array(keys or [-1], dtype=np.int64)[order]
+        self.values = np.array(values or [-1], dtype=np.int64)[order]
+
+    @functools.cached_property
+    def pair(self) -> dict[int, int]:
+        """Ranks by pair for single look-ups, which only long words need."""
+        return dict(zip(self.keys.tolist(), self.values.tolist(), strict=True))
 
     def of_pairs(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """The rank that each pair merges to, or -1."""
@@ -163,6 +177,8 @@ def replay_long(words: list[bytes], ranks: Ranks) -> list[bytes]:
     pair of a lower rank, that pair comes first within its word, so the word's
     remaining positions are filed again. Equal ranks merge from left to right.
     """
+    if not words:
+        return []
     width, find = ranks.width, ranks.pair.get
     byte = ranks.byte
     token: list[int] = [-1]
@@ -310,7 +326,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        token = ranks_of(path).token
+        token = tokens_of(path)
         for block in blocks(batches):
             texts = [
                 None if ids is None else b"".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()])

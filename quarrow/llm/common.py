@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes of text that a Python worker expands into Python objects at a time.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 1 << 20
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,6 +88,7 @@ def blocks(batches: Iterator[pa.RecordBatch], column: int = 1, limit: int = BLOC
             held += size
         if start < batch.num_rows:
             yield batch.slice(start)
+    pa.default_memory_pool().release_unused()
 
 
 def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:

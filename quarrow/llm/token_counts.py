@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .common import blocks, id_and_text
 
 #: Pre-tokens whose piece counts a worker keeps; the memo starts anew beyond it.
-MEMO_ENTRIES = 600_000
+MEMO_ENTRIES = 300_000
 #: Longer pre-tokens are counted, but not kept.
 MEMO_LENGTH = 64
 
