@@ -21,7 +21,7 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blocks, dropped, id_and_text, written
@@ -58,14 +58,13 @@ class Similarity:
         """Whether sets of these sizes can be similar."""
         return (F.col(a) * self.den >= F.col(b) * self.num) & (F.col(b) * self.den >= F.col(a) * self.num)
 
-    def places_fit(self, a: str, b: str, pa: str, pb: str) -> Column:
-        """Whether sets that share a shingle at these places of their orders can be similar.
+    def slack(self, a: str, b: str, pa: str, pb: str) -> Column:
+        """Shingles that sets of these sizes have from a shared one on, at these places, beyond the overlap they need.
 
-        What both have before it and after it bounds their overlap, which needs to
-        be the threshold's share of the union.
+        Below zero, so many shared shingles have to lie before it.
         """
-        most = F.least(pa, pb) + F.least(F.col(a) - F.col(pa), F.col(b) - F.col(pb))
-        return most * (self.num + self.den) >= (F.col(a) + F.col(b)) * self.num
+        need = F.expr(f"(({a} + {b}) * {self.num} + {self.num + self.den - 1}) div {self.num + self.den}")
+        return (F.least(F.col(a) - F.col(pa), F.col(b) - F.col(pb)) - need).cast("int")
 
 
 def _sets(block: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -238,9 +237,14 @@ def _similar(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
     return pairs.join(b, "b").join(a, "a").where(both * like.den >= union * like.num).select("a", "b")
 
 
-def _asked(pairs: DataFrame) -> DataFrame:
-    """Distinct pairs that share as many prefix shingles as the smaller number asks for."""
-    return pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("asked").alias("asked")).where("shared >= asked").select("a", "b")
+def _asked(pairs: DataFrame, every: bool) -> DataFrame:
+    """Distinct pairs that share as many prefix shingles as the smaller number asks for.
+
+    Where ``every`` shared one is there, those up to the last and all that follows
+    have to reach the overlap, too.
+    """
+    counted = pairs.groupBy("a", "b").agg(F.count("*").alias("shared"), F.first("asked").alias("asked"), F.min("slack").alias("slack")).where("shared >= asked")
+    return (counted.where("shared - 1 + slack >= 0") if every else counted).select("a", "b")
 
 
 def clusters(df: DataFrame, width: int = 3, threshold: Fraction = Fraction(9, 10), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -261,14 +265,16 @@ def clusters(df: DataFrame, width: int = 3, threshold: Fraction = Fraction(9, 10
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "join-classes")
     spread = classes.select("node", F.col("size").cast("int").alias("size"), F.col("matches").cast("short").alias("matches"), F.posexplode("prefix").alias("place", "token"))
     again = spread.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
-    live = written(spread.join(again, "token"), "join-index")
+    # Shingles before it that other prefixes have, too: no more than those can be shared.
+    rank = F.row_number().over(Window.partitionBy("node").orderBy("place")) - 1
+    live = written(spread.join(again, "token").withColumn("rank", rank), "join-index")
     labels = written(live.groupBy("node").agg(F.count("*").alias("common")).withColumn("component", F.col("node")), "labels")
-    sets = before = None
+    before = None
     for step in range(ROUNDS + 1):
         placed = live.join(labels, "node")
         # A set most of whose shingles are shared is the middle of its group; later rounds take other components by chance.
         chance = F.xxhash64("component", F.lit(step)) if step else F.lit(0).cast("long")
-        groups = placed.groupBy("token", "component").agg(F.count("*").alias("n"), F.max(F.struct(chance.alias("by"), "common", "node", "size", "matches", "place")).alias("hub"))
+        groups = placed.groupBy("token", "component").agg(F.count("*").alias("n"), F.max(F.struct(chance.alias("by"), "common", "node", "size", "matches", "place", "rank")).alias("hub"))
         tokens = groups.groupBy("token").agg(
             F.count("*").alias("parts"), F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("within"),
             F.max(F.struct("n", "component")).alias("major"), F.max("hub").alias("hub"),
@@ -279,21 +285,20 @@ def clusters(df: DataFrame, width: int = 3, threshold: Fraction = Fraction(9, 10
             break
         last = step == ROUNDS or left[0] <= PAIRS_LEFT * left[1] or (before is not None and 2 * left[0] > before)
         before = left[0]
-        mine = placed.select("token", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("matches").alias("mb"), F.col("place").alias("pb"), F.col("component").alias("cb"))
+        mine = placed.select("token", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("matches").alias("mb"), F.col("place").alias("pb"), F.col("rank").alias("rb"), F.col("component").alias("cb"))
         if last:
             minor = mine.join(tokens.select("token", "major"), "token").where("cb <> major")
-            minor = minor.select("token", "major", *[F.col(c + "b").alias(c + "a") for c in "nmpc"], F.col("b").alias("a"))
+            minor = minor.select("token", "major", *[F.col(c + "b").alias(c + "a") for c in "nmprc"], F.col("b").alias("a"))
             pairs = minor.join(mine, "token").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("major")) | (F.col("a") < F.col("b"))))
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "na", "nb", "ma", "mb", "pa", "pb")
+            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *[c + side for c in "nmpr" for side in "ab"])
         else:
-            hubs = tokens.select("token", F.col("hub.node").alias("a"), F.col("hub.size").alias("na"), F.col("hub.matches").alias("ma"), F.col("hub.place").alias("pa"))
+            hubs = tokens.select("token", F.col("hub.node").alias("a"), F.col("hub.size").alias("na"), F.col("hub.matches").alias("ma"), F.col("hub.place").alias("pa"), F.col("hub.rank").alias("ra"))
             pairs = mine.join(hubs, "token").where("a <> b")
-        pairs = pairs.where(like.sizes_fit("na", "nb") & like.places_fit("na", "nb", "pa", "pb")).select("a", "b", F.least("ma", "mb").alias("asked"))
-        pairs = written(_asked(pairs), "join-pairs")
+        slack = like.slack("na", "nb", "pa", "pb")
+        pairs = pairs.where(like.sizes_fit("na", "nb") & (F.least("ra", "rb") + slack >= 0)).select("a", "b", F.least("ma", "mb").alias("asked"), slack.alias("slack"))
+        pairs = written(_asked(pairs, last), "join-pairs")
         nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        nodes = nodes.join(sets, "node", "left_anti") if sets is not None else nodes
-        more = _needed(data, width, written(nodes.join(classes, "node").select("node", "f1", "f2", "least"), "join-needed"))
-        sets = more if sets is None else sets.union(more)
+        sets = _needed(data, width, written(nodes.join(classes, "node").select("node", "f1", "f2", "least"), "join-needed"))
         edges = _similar(pairs, sets, like)
         ends = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
         others = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
@@ -325,5 +330,6 @@ def one_of_each(df: DataFrame, width: int = 5, threshold: Fraction = Fraction(4,
 
 def _needed(data: DataFrame, width: int, nodes: DataFrame) -> DataFrame:
     """``(node, shingles)`` of the nodes ``(node, f1, f2, least)``, written."""
-    found = _whole_sets(data, width, _marks(nodes)).join(nodes, ["f1", "f2"]).select("node", "shingles")
-    return written(found.groupBy("node").agg(F.first("shingles").alias("shingles")), "join-sets")
+    found = _whole_sets(data, width, _marks(nodes)).join(nodes, ["f1", "f2"])
+    one = found.groupBy("f1", "f2").agg(F.first("node").alias("node"), F.first("shingles").alias("shingles"))  # as the join lies
+    return written(one.select("node", "shingles"), "join-sets")
