@@ -48,8 +48,9 @@ _DIGIT_RUN = re.compile(
 )
 _DIGIT_WORD = re.compile(r"\b(?:{})\b".format("|".join(DIGITS)), re.I)
 _PLUS = re.compile(r"\bplus[\x20-]+(?=[0-9])", re.I)
-_AT = re.compile(r"\x20*[\[({<]\x20*(?:at|@)\x20*[\])}>]\x20*|\x20+(?:at|AT)\x20+(?=[A-Za-z0-9-]+(?:\x20*[\[({<]\x20*(?:dot|\.)|\x20+(?:dot|DOT)\x20))", re.I)
-_DOT = re.compile(r"\x20*[\[({<]\x20*(?:dot|\.)\x20*[\])}>]\x20*|\x20+(?:dot|DOT)\x20+", re.I)
+_AT = re.compile(r"(?<!\x20)(?:\x20*[\[({<]\x20*(?:at|@)\x20*[\])}>]\x20*|\x20+(?:at|AT)\x20+(?=[A-Za-z0-9-]+(?:\x20*[\[({<]\x20*(?:dot|\.)|\x20+(?:dot|DOT)\x20)))", re.I)
+# A dot in disguise stands between two parts of a name or a number.
+_DOT = re.compile(r"(?<=[A-Za-z0-9_%+-])(?:\x20*[\[({<]\x20*(?:dot|\.)\x20*[\])}>]\x20*|\x20+(?:dot|DOT)\x20+)(?=[A-Za-z0-9_%+-])", re.I)
 _SPACED = re.compile(r"(?<=[A-Za-z0-9])\x20+@\x20+(?=[A-Za-z0-9-]+\.[A-Za-z])")
 _SIGN = re.compile(r"[\[({<\x20](?:at|dot|@|\.)[\])}>\x20]", re.I)
 
@@ -157,24 +158,11 @@ def normalised(text: str) -> Tape | None:
         tape.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(tape.text)])
     if _SIGN.search(tape.text) or " @ " in tape.text:
         tape.rewrite([(m.start(), m.end(), "@") for m in _AT.finditer(tape.text)])
+        tape.rewrite([(m.start(), m.end(), ".") for m in _DOT.finditer(tape.text)])
         tape.rewrite([(m.start(), m.end(), "@") for m in _SPACED.finditer(tape.text)])
-        if "@" in tape.text:
-            tape.rewrite([e for m in re.finditer(r"@[^@\n]{1,80}", tape.text) for e in _dots(m)])
     return tape if len(tape.source) > 1 or tape.text != text else None
 
 
-def _dots(tail: re.Match) -> list[tuple[int, int, str]]:
-    """Spelled dots that follow one another, a name between each, from an at sign on."""
-    edits, at, whole = [], tail.start() + 1, tail[0]
-    while True:
-        name = re.match(r"[A-Za-z0-9.-]+", whole[at - tail.start() :])
-        dot = name and _DOT.match(whole, at - tail.start() + name.end())
-        if not dot:
-            return edits
-        edits.append((tail.start() + dot.start(), tail.start() + dot.end(), "."))
-        at = tail.start() + dot.end()
-
-
 def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans, and the spans that only deobfuscation shows.
 

@@ -116,6 +116,39 @@ def test_disguises_map_back_to_their_source(text, kind, source):
     assert source not in pii.redacted(text, added) and f"<{kind}>" in pii.redacted(text, added)
 
 
+LONG = " [dot] ".join(f"part{k}" for k in range(30))
+
+
+@pytest.mark.parametrize(
+    "text, kind, source",
+    [
+        ("host 192[.]168[.]1[.]1 down", "ip", "192[.]168[.]1[.]1"),
+        ("host 10 dot 0 dot 0 dot 1 down", "ip", "10 dot 0 dot 0 dot 1"),
+        ("host 10 (dot) 0.0 [.] 1 down", "ip", "10 (dot) 0.0 [.] 1"),
+        ("call +1 212[.]555[.]0199 now", "phone", "+1 212[.]555[.]0199"),
+        ("mail: john [dot] doe [at] example [dot] com.", "email", "john [dot] doe [at] example [dot] com"),
+        ("mail: j dot r dot doe at example dot com.", "email", "j dot r dot doe at example dot com"),
+        ("mail: john @ example dot com.", "email", "john @ example dot com"),
+        (f"mail: john [at] {LONG} [dot] com!", "email", f"john [at] {LONG} [dot] com"),
+        (f"mail: {LONG} [at] example [dot] com!", "email", f"{LONG} [at] example [dot] com"),
+    ],
+)
+def test_disguised_dots_anywhere(text, kind, source):
+    base, added = pii.find(text)
+    assert base == [] and [(k, text[a:b]) for k, a, b in added] == [(kind, source)]
+    assert pii.redacted(text, added) == text.replace(source, f"<{kind}>")
+
+
+@pytest.mark.parametrize("text", ["a dot b", "version 1 dot 2 dot 3", "300 dot 1 dot 1 dot 1", "(dot) at [dot]", "see [.] and (.)"])
+def test_dots_alone_give_no_added_spans(text):
+    assert pii.find(text) == ([], [])
+
+
+@pytest.mark.parametrize("text", ["a dot " * 50_000, "[.]" * 100_000, "a dot b" + " " * 300_000 + "c", "1 dot" + " " * 300_000])
+def test_dot_scans_are_linear(text):
+    pii.find(text)
+
+
 @pytest.mark.parametrize("text", ["we met at home dot", "at one two three four five", "look at us com", "one two three", "the dot at (at) dot"])
 def test_clean_texts_get_no_added_spans(text):
     assert pii.find(text) == ([], [])
