@@ -4,7 +4,7 @@ Patterns give candidate spans. Every candidate's value is hashed, and hashes are
 aggregated by distinct repositories and owners over the whole corpus: a value
 that many owners share is a copied example, one that a single owner has looks
 live. Base spans are always reported; spans of the wider patterns are added
-where ownership says that they look live.
+where ownership does not say that they are copied examples.
 
 Positions come from the texts between matches: a match starts after all earlier
 matches and all gaps up to it, which is a running sum per document and kind.
@@ -110,7 +110,7 @@ def scan(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_co
     judged = (
         spans.join(owned, "value")
         .withColumn("verdict", verdict)
-        .where(base | (F.col("verdict") == "live"))
+        .where(base | (F.col("verdict") != "example"))
         .select("row", F.struct("start", F.col("kind").alias("kind_order"), name.alias("kind"), "end", base.alias("base"), "value", "owners", "repositories", "verdict").alias("span"))
         .groupBy("row")
         .agg(F.array_sort(F.collect_list("span")).alias("spans"))

@@ -71,6 +71,15 @@ def test_ownership_decides_on_added_spans(spark):
     assert (live["kind"], live["start"], live["end"], live["verdict"], live["owners"], live["repositories"]) == ("issued", 4, 44, "live", 1, 2)
 
 
+def test_added_spans_of_two_owners_stay(spark):
+    both = "ghp_" + "Q7w8" * 9
+    rows = [(k, f"see {both}", f"owner{k}", "en") for k in range(2)] + [(5, None, "owner5", "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    found = {r["doc_id"]: [(s["kind"], s["start"], s["end"], s["verdict"], s["owners"]) for s in r["spans"]] for r in secrets.scan(df).collect()}
+    spans = [("issued", 4, 44, "shared", 2), ("opaque", 4, 44, "shared", 2)]
+    assert found == {0: spans, 1: spans, 5: []}
+
+
 def test_secret_scan_is_native(docs):
     plan = secrets.secret_spans(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
