@@ -23,7 +23,7 @@ ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
 # Formats of issued keys, and long strings that mix cases and digits.
 ISSUED = r"gh[pousr]_[A-Za-z0-9]{30,}|xox[abprs]-[A-Za-z0-9-]{20,}|sk_live_[A-Za-z0-9]{16,}|AIza[A-Za-z0-9_-]{30,}|eyJ[A-Za-z0-9_-]{10,}\.eyJ[A-Za-z0-9_-]{10,}\.[A-Za-z0-9_-]{10,}"
-OPAQUE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]{0,40}[0-9])(?=[a-z0-9+/_-]{0,40}[A-Z])(?=[A-Z0-9+/_-]{0,40}[a-z])[A-Za-z0-9+/_-]{32,}"
+OPAQUE = r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*+[0-9])(?=[a-z0-9+/_-]*+[A-Z])(?=[A-Z0-9+/_-]*+[a-z])[A-Za-z0-9+/_-]{32,}"
 
 #: Kind, pattern, group of the value, least length of the value, base.
 KINDS = (

@@ -80,6 +80,13 @@ def test_added_spans_of_two_owners_stay(spark):
     assert found == {0: spans, 1: spans, 5: []}
 
 
+def test_opaque_values_are_judged_whole(spark):
+    texts = ["Ab" * 30 + "7", "z1" * 30 + "B", "A1" * 30 + "b", "aB" * 5000 + "7", "aB" * 40, "z1" * 40, "A1" * 40, "Ab" * 15 + "7"]
+    df = spark.createDataFrame([(k, f"key {t} é", "owner", "en") for k, t in enumerate(texts)], "doc_id long, text string, source string, lang string")
+    found = {r["doc_id"]: [(s["kind"], s["start"], s["end"]) for s in r["spans"]] for r in secrets.scan(df).collect()}
+    assert found == {k: [("opaque", 4, 4 + len(t))] if k < 4 else [] for k, t in enumerate(texts)}
+
+
 def test_secret_scan_is_native(docs):
     plan = secrets.secret_spans(docs)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
