@@ -43,10 +43,10 @@ _NOT_DIGIT = re.compile(r"[^0-9]+")
 _LOCAL_SET = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 _ODD = re.compile("[" + re.escape("".join(HOMOGLYPHS) + INVISIBLE) + "]")
-_DIGIT_RUN = re.compile(
-    r"\b(?:{w})(?:[\x20,.-]{{1,2}}(?:{w}|[0-9]))+\b|\b[0-9](?:[\x20-](?:{w}|[0-9]))+\b".format(w="|".join(DIGITS)), re.I
-)
-_DIGIT_WORD = re.compile(r"\b(?:{})\b".format("|".join(DIGITS)), re.I)
+_DIGIT_WORD = re.compile(r"(?<![A-Za-z])(?ai:{})(?![A-Za-z])".format("|".join(DIGITS)))
+# Fixed value: what may stand between a digit's name and the digit or name beside it.
+_APART = " ,.()-"
+_GAP = re.compile(r"[\x20,.()-]*+")
 _PLUS = re.compile(r"\bplus[\x20-]+(?=[0-9])", re.I)
 _AT = re.compile(r"(?<!\x20)(?:\x20*[\[({<]\x20*(?:at|@)\x20*[\])}>]\x20*|\x20+(?:at|AT)\x20+(?=[A-Za-z0-9-]+(?:\x20*[\[({<]\x20*(?:dot|\.)|\x20+(?:dot|DOT)\x20)))", re.I)
 # A dot in disguise stands between two parts of a name or a number.
@@ -148,11 +148,7 @@ def normalised(text: str) -> Tape | None:
     tape = Tape(text)
     if not text.isascii():
         tape.rewrite([(m.start(), m.end(), HOMOGLYPHS.get(m[0], "")) for m in _ODD.finditer(tape.text)])
-    runs = []
-    for run in _DIGIT_RUN.finditer(tape.text):
-        words = list(_DIGIT_WORD.finditer(run[0]))
-        if len(words) >= 3:
-            runs += [(run.start() + w.start(), run.start() + w.end(), DIGITS[w[0].lower()]) for w in words]
+    runs = _names(tape.text)
     tape.rewrite(runs)
     if runs:
         tape.rewrite([(m.start(), m.end(), "+") for m in _PLUS.finditer(tape.text)])
@@ -163,6 +159,19 @@ def normalised(text: str) -> Tape | None:
     return tape if len(tape.source) > 1 or tape.text != text else None
 
 
+def _names(text: str) -> list[tuple[int, int, str]]:
+    """Digit names with a digit or another digit name beside them."""
+    edits, last, words = [], 0, list(_DIGIT_WORD.finditer(text))
+    for k, m in enumerate(words):
+        ahead = text[last : m.start()].rstrip(_APART)
+        last = m.end()
+        after = _GAP.match(text, last).end()
+        beside = k > 0 if not ahead else "0" <= ahead[-1] <= "9"
+        if beside or "0" <= text[after : after + 1] <= "9" or (k + 1 < len(words) and words[k + 1].start() == after):
+            edits.append((m.start(), last, DIGITS[m[0].lower()]))
+    return edits
+
+
 def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans, and the spans that only deobfuscation shows.
 

@@ -165,6 +165,33 @@ def test_dot_scans_are_linear(text):
     pii.find(text)
 
 
+@pytest.mark.parametrize(
+    "text, kind, source",
+    [
+        ("call +1 212 five five 5 0199 now", "phone", "+1 212 five five 5 0199"),
+        ("call +1 212 555 five 199 now", "phone", "+1 212 555 five 199"),
+        ("call +49 (151) Five-55", "phone", "+49 (151) Five-55"),
+        ("call plus 1 212 5550 one nine 9 now", "phone", "plus 1 212 5550 one nine 9"),
+        ("card 4111 1111 1111 111 one done", "card", "4111 1111 1111 111 one"),
+        ("card 4111-one111-1111-11one1 done", "card", "4111-one111-1111-11one1"),
+    ],
+)
+def test_few_spelled_digits(text, kind, source):
+    base, added = pii.find(text)
+    assert base == [] and [(k, text[a:b]) for k, a, b in added] == [(kind, source)]
+    assert pii.redacted(text, added) == text.replace(source, f"<{kind}>")
+
+
+@pytest.mark.parametrize("text", ["4111 1111 1111 111 two", "+1 212 five", "phone 5", "\u017fix 5 f\u0131ve 6 one", "one, 2 or three"])
+def test_digit_names_alone_give_no_added_spans(text):
+    assert pii.find(text) == ([], [])
+
+
+@pytest.mark.parametrize("text", ["one " * 50_000, "one" + " " * 300_000 + "5", "5 one(" * 50_000])
+def test_digit_name_scans_are_linear(text):
+    pii.find(text)
+
+
 @pytest.mark.parametrize("text", ["we met at home dot", "at one two three four five", "look at us com", "one two three", "the dot at (at) dot"])
 def test_clean_texts_get_no_added_spans(text):
     assert pii.find(text) == ([], [])
