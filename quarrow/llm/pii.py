@@ -175,19 +175,24 @@ def _names(text: str) -> list[tuple[int, int, str]]:
 def find(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]]]:
     """Base spans, and the spans that only deobfuscation shows.
 
-    An added span overlaps no base span of any kind; it covers the disguise in
-    the source text. Text without disguises gets no added spans.
+    An added span covers the disguise in the source text, and something that base
+    spans (of any kind, together) do not. Text without disguises gets no added spans.
     """
     base = identifiers(text)
     tape = normalised(text)
     if tape is None:
         return base, []
-    taken = sorted((a, b) for _, a, b in base)
+    taken: list[list[int]] = []  # base spans, those that touch as one
+    for a, b in sorted((a, b) for _, a, b in base):
+        if taken and a <= taken[-1][1]:
+            taken[-1][1] = max(taken[-1][1], b)
+        else:
+            taken.append([a, b])
     added = []
     for kind, start, end in identifiers(tape.text):
         a, b = tape.place(start, False), tape.place(end, True)
-        k = bisect_right(taken, (a, len(text)))
-        if not (k and taken[k - 1][1] > a) and not (k < len(taken) and taken[k][0] < b):
+        k = bisect_right(taken, [a, len(text)])
+        if not k or taken[k - 1][1] < b:
             added.append((kind, a, b))
     return base, added
 

@@ -192,6 +192,21 @@ def test_digit_name_scans_are_linear(text):
     pii.find(text)
 
 
+@pytest.mark.parametrize(
+    "text, base, added, clean",
+    [
+        ("to john@mail.ex\u0430mple.com now", ["john@mail.ex"], ["john@mail.ex\u0430mple.com"], "to <email> now"),
+        ("to jo [dot] doe@ex.com now", ["doe@ex.com"], ["jo [dot] doe@ex.com"], "to <email> now"),
+        ("to a@b.com, \uff11.2.3.4 now", ["a@b.com"], ["\uff11.2.3.4"], "to <email>, <ip> now"),
+        ("to a@b.com and \u0435.", ["a@b.com"], [], "to <email> and \u0435."),
+    ],
+)
+def test_added_spans_reach_beyond_base_spans(text, base, added, clean):
+    found = pii.find(text)
+    assert [[text[a:b] for _, a, b in spans] for spans in found] == [base, added]
+    assert pii.redacted(text, [*found[0], *found[1]]) == clean
+
+
 @pytest.mark.parametrize("text", ["we met at home dot", "at one two three four five", "look at us com", "one two three", "the dot at (at) dot"])
 def test_clean_texts_get_no_added_spans(text):
     assert pii.find(text) == ([], [])
