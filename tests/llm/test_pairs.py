@@ -66,6 +66,11 @@ def test_components(which, width, threshold, request):
     assert found == linked(pairs(df), width, threshold)
 
 
+def test_components_at_the_pipelines_width(copies):
+    found = Counter(tuple(r) for r in jaccard_join.clusters(copies, 5, Fraction(4, 5)).collect())
+    assert found == linked(pairs(copies), 5, Fraction(4, 5))
+
+
 def test_star_rounds_and_the_rest_give_the_same(copies, monkeypatch):
     monkeypatch.setattr(jaccard_join, "PAIRS_LEFT", 0)
     monkeypatch.setattr(jaccard_join, "ROUNDS", 2)
