@@ -44,18 +44,20 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, release: bool = True) -> DataFrame:
     """``df`` as a Parquet table in the shared folder, read back.
 
     Lineage ends there, so a lost executor costs at most the tasks that ran on
-    it. The table is removed when the driver's JVM ends.
+    it. The table is removed when the driver's JVM ends. ``release``: shuffle
+    files of the plan go now; not worth the time after small ones.
     """
     spark = df.sparkSession
     target = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(target)
     path = spark._jvm.org.apache.hadoop.fs.Path(target)
     path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(path)
-    released(spark)
+    if release:
+        released(spark)
     return spark.read.schema(df.schema).parquet(target)
 
 

@@ -1,17 +1,22 @@
 """N-gram Jaccard join with adaptive multi-match prefixes.
 
-Documents of one shingle set are one node. A node's shingles are put in a global
-order, rare ones first (counts over all documents in a table of fixed size). Two
-sets that are similar enough share at least l shingles within prefixes that are
-l - 1 longer than the shortest sound ones; every node chooses the l for which
-the estimated cost of its candidates is least, and a pair has to share the
-smaller of both numbers before its sets are compared.
+Documents of one shingle set are one node. Sets that share too few shingles with
+any other, over all documents, drop out first (:mod:`.liveness`). The others'
+shingles are put in a global order, rare ones first, by exact counts. Two sets
+that are similar enough share at least l shingles within prefixes that are l - 1
+longer than the shortest sound ones; every node chooses the l for which the
+estimated cost of its candidates is least, and a pair has to share the smaller
+of both numbers before its sets are compared.
 
 Only components are asked for, so pairs within a component already known are
 never compared: rounds compare every node of a prefix shingle with one hub, and
 join what is similar, until the pairs that remain between components are few;
-then all of those are compared. No link between components is lost, and a group
+then all of those are compared. Index rows of shingles whose nodes are all in one
+component go after each round. No link between components is lost, and a group
 of thousands of near copies costs a few comparisons for each member.
+
+Very long texts are cut into words a segment at a time; what is held whole is
+one document's set, eight bytes for each shingle.
 """
 
 from __future__ import annotations
@@ -25,15 +30,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blocks, dropped, id_and_text, written
-from .words import distinct, mixed, shingles, words_of
+from .liveness import marks, sets_that_share
+from .words import SEGMENT, distinct, mixed, shingles, word_hashes
 
-#: Buckets of the table of shingle counts; its size is fixed and so is the broadcast.
-BUCKETS = 1 << 20
-#: Marks of documents whose sets are needed; of fixed size, too. Where it fills up, it
+#: Marks of sets that may have a similar one; of fixed size. Where it fills up, it
 #: lets sets through that are then dropped by a join.
 MARKS = 1 << 23
-#: Buckets in one row while tables are added up.
-CHUNK = 1 << 14
 #: Most shared prefix shingles that a node may ask for.
 MOST_MATCHES = 6
 #: Cost of comparing two sets, for each shingle, in units of one index entry.
@@ -68,129 +70,103 @@ class Similarity:
 
 
 def _sets(block: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
-    return distinct(*shingles(words_of(block.column(1)), width))
+    return distinct(*shingles(*word_hashes(block.column(1)), width))
 
 
-def _totals(partial: DataFrame, width: int) -> np.ndarray:
-    """The sum of tables that tasks have sent in chunks: ``(chunk, counts)`` rows of 16 or 32 bits."""
+def _hashes(h: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """Two hashes of each set, which stand for it."""
+    out = []
+    for salt in (0x51, 0xA7):
+        line = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h + np.uint64(salt)))])
+        out.append(mixed(line[first[1:]] - line[first[:-1]] + np.diff(first).astype(np.uint64)).view(np.int64))
+    return out
 
-    def add(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(CHUNK, dtype=np.uint64)
-        for batch in batches:
-            for packed in batch.column(1).to_pylist():
-                table += np.frombuffer(packed, np.uint16 if len(packed) == 2 * CHUNK else np.uint32)
-        yield pa.record_batch([pa.array([key[0].as_py()], pa.int32()), pa.array([np.minimum(table, (1 << 32) - 1).astype(np.uint32).tobytes()])], names=["chunk", "counts"])
 
-    table = np.zeros(width, dtype=np.uint32)
-    for row in partial.groupBy("chunk").applyInArrow(add, "chunk int, counts binary").collect():  # width / CHUNK rows of fixed size
-        table[row["chunk"] * CHUNK :][:CHUNK] = np.frombuffer(row["counts"], np.uint32)
-    return table
+def _candidates(data: DataFrame, like: Similarity) -> DataFrame:
+    """``(f1, f2)`` of the sets that share enough shingles with others, over all rows of ``data``."""
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for block in blocks(batches, limit=SEGMENT):
+            h, first = _sets(block, like.width)
+            yield h, first, _hashes(h, first)
 
+    n_bytes = data.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return written(sets_that_share(data, sets, like.least_overlap, n_bytes).distinct(), "join-candidates")
 
-def _chunks(table: np.ndarray) -> pa.RecordBatch:
-    """A task's table as chunks, empty ones left out."""
-    chunks = [table[k : k + CHUNK] for k in range(0, len(table), CHUNK)]
-    held = [k for k, c in enumerate(chunks) if c.any()]
-    packed = [chunks[k].astype(np.uint16 if chunks[k].max() < 1 << 16 else np.uint32).tobytes() for k in held]
-    return pa.record_batch([pa.array(held, pa.int32()), pa.array(packed, pa.binary())], names=["chunk", "counts"])
 
+def _rows(data: DataFrame, width: int, marked: np.ndarray) -> DataFrame:
+    """``(id, size, f1, f2, task, shingles)`` of every row; f1 and f2 stand for the set.
 
-def _shingle_counts(data: DataFrame, width: int) -> np.ndarray:
-    """How many documents' sets have a shingle of each bucket, over all documents."""
+    ``shingles`` is there for marked sets, once in a task each.
+    """
+    shared = data.sparkSession.sparkContext.broadcast(marked)  # MARKS bits, whatever the input
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(BUCKETS, dtype=np.uint32)
-        for block in blocks(batches):
-            h, _ = _sets(block, width)
-            table += np.bincount((h % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS).astype(np.uint32)
-        yield _chunks(table)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyspark import TaskContext
 
-    return _totals(data.mapInArrow(count, "chunk int, counts binary"), BUCKETS)
+        task, seen = TaskContext.get().partitionId(), set()
+        for block in blocks(batches, limit=SEGMENT):
+            h, first = _sets(block, width)
+            sizes = np.diff(first)
+            f1, f2 = _hashes(h, first)
+            at = f1 % MARKS
+            wanted = (shared.value[at >> 3] >> (at & 7) & 1).astype(bool) & (sizes > 0)
+            for k in np.flatnonzero(wanted).tolist():
+                key = (f1[k], f2[k])
+                wanted[k] = key not in seen
+                seen.add(key)
+            ends = np.concatenate([[0], np.cumsum(np.where(wanted, sizes, 0))]).astype(np.int32)
+            kept = h[np.repeat(wanted, sizes)].view(np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(kept), mask=pa.array(~wanted))
+            columns = [block.column(0), pa.array(sizes), pa.array(f1, mask=sizes == 0), pa.array(f2, mask=sizes == 0), pa.array(np.full(len(sizes), task, np.int32)), lists]
+            yield pa.record_batch(columns, names=["id", "size", "f1", "f2", "task", "shingles"])
+
+    return data.mapInArrow(run, f"id {data.schema['id'].dataType.simpleString()}, size long, f1 long, f2 long, task int, shingles array<long>")
+
+
+def _index(sets: DataFrame, like: Similarity) -> DataFrame:
+    """``(node, size, matches, place, token)``: prefixes of ``sets (node, size, shingles)``, by exact counts.
+
+    ``place`` counts from the set's rarest shingle on; those that no other node
+    has come first and need no row.
+    """
+    spread = sets.select("node", F.col("size").cast("int").alias("size"), F.explode("shingles").alias("token"))
+    counts = spread.groupBy("token").agg(F.count("*").cast("int").alias("held")).where("held > 1")
+    shared = spread.join(counts, "token").groupBy("node").agg(F.first("size").alias("size"), F.collect_list(F.struct("held", "token")).alias("shared"))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            node, size, lists = [batch.column(k) for k in range(3)]
+            flat = lists.flatten()
+            held, token = [flat.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)]
+            lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+            at, places, matches = _prefixes(held, token, lengths, size.to_numpy().astype(np.int64), like)
+            owner = np.repeat(np.arange(len(lengths)), lengths)[at]
+            yield pa.record_batch([node.take(pa.array(owner)), size.take(pa.array(owner)), pa.array(matches[owner].astype(np.int16)), pa.array(places.astype(np.int32)), pa.array(token[at])], names=["node", "size", "matches", "place", "token"])
 
-def _mark(identity: Column) -> Column:
-    """The place of an id in the table of marks."""
-    return F.pmod(F.xxhash64(identity), F.lit(MARKS)).cast("int")
+    return shared.mapInArrow(run, "node long, size int, matches short, place int, token long")
 
 
-def _marks(nodes: DataFrame) -> np.ndarray:
-    """Bits at the places of the nodes' least ids; other ids may share a place."""
+def _prefixes(held: np.ndarray, token: np.ndarray, lengths: np.ndarray, sizes: np.ndarray, like: Similarity) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Which shared shingles are in their sets' prefixes, their places, and the matches that each set asks for.
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = np.zeros(MARKS, dtype=np.uint32)
-        for batch in batches:
-            table[batch.column(0).to_numpy(zero_copy_only=False)] = 1
-        yield _chunks(table)
-
-    places = nodes.select(_mark(F.col("least")).alias("place")).coalesce(8)
-    return np.packbits(_totals(places.mapInArrow(mark, "chunk int, counts binary"), MARKS) > 0)
-
-
-def _prefixes(h: np.ndarray, first: np.ndarray, counts: np.ndarray, common: float, like: Similarity) -> tuple[list[np.ndarray], np.ndarray]:
-    """Each set's prefix in the global order, and the matches it asks for."""
-    held = counts[(h % np.uint64(BUCKETS)).astype(np.int64)]
-    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    order = np.lexsort((h, held, owner))
-    h, cost = h[order], np.maximum(held[order].astype(np.float64) - common, 1.0)
-    sums = np.concatenate([[0.0], np.cumsum(cost)])
-    sizes = np.diff(first)
-    least = like.least_overlap(sizes)
+    ``lengths``: how many of ``held`` (counts) and ``token`` are each set's.
+    """
+    first = np.concatenate([[0], np.cumsum(lengths)])
+    owner = np.repeat(np.arange(len(lengths)), lengths)
+    order = np.lexsort((token, held, owner))
+    sums = np.concatenate([[0.0], np.cumsum(held[order].astype(np.float64))])
+    alone, least = sizes - lengths, like.least_overlap(sizes)
     best = np.full(len(sizes), np.inf)
     matches = np.ones(len(sizes), dtype=np.int64)
     for asked in range(1, MOST_MATCHES + 1):
-        entries = sums[np.minimum(first[:-1] + sizes - least + asked, first[1:])] - sums[first[:-1]]
-        estimate = np.where(least >= asked, entries * (1 + COMPARE * sizes / asked), np.inf)
+        inside = np.clip(sizes - least + asked - alone, 0, lengths)
+        estimate = np.where(least >= asked, (sums[first[:-1] + inside] - sums[first[:-1]]) * (1 + COMPARE * sizes / asked), np.inf)
         better = estimate < best
         best[better], matches[better] = estimate[better], asked
-    lengths = np.where(sizes > 0, sizes - least + matches, 0)
-    return [h[a : a + n] for a, n in zip(first[:-1].tolist(), lengths.tolist(), strict=True)], matches
-
-
-def _entries(data: DataFrame, counts: np.ndarray, like: Similarity) -> DataFrame:
-    """``(id, size, f1, f2, matches, prefix)`` of every row; f1 and f2 stand for the set."""
-    common = float(np.median(counts))
-    shared = data.sparkSession.sparkContext.broadcast(counts)  # BUCKETS counts, whatever the input
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
-            h, first = _sets(block, like.width)
-            sizes = np.diff(first)
-            some = sizes > 0
-            sums = _hashes(h, first)
-            prefix, matches = _prefixes(h, first, shared.value, common, like)
-            flat = np.concatenate(prefix) if len(prefix) else np.zeros(0, np.uint64)
-            ends = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
-            columns = [block.column(0), pa.array(sizes), pa.array(sums[0], mask=~some), pa.array(sums[1], mask=~some), pa.array(matches), lists]
-            yield pa.record_batch(columns, names=["id", "size", "f1", "f2", "matches", "prefix"])
-
-    return data.mapInArrow(run, f"id {data.schema['id'].dataType.simpleString()}, size long, f1 long, f2 long, matches long, prefix array<long>")
-
-
-def _hashes(h: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
-    """Two hashes of each set, which stand for it."""
-    out = []
-    for salt in (0x51, 0xA7):
-        line = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mixed(h + np.uint64(salt)))])
-        out.append(mixed(line[first[1:]] - line[first[:-1]] + np.diff(first).astype(np.uint64)).view(np.int64))
-    return out
-
-
-def _whole_sets(data: DataFrame, width: int, marks: np.ndarray) -> DataFrame:
-    """``(f1, f2, shingles)`` of rows with words whose ids are marked."""
-    shared = data.sparkSession.sparkContext.broadcast(marks)  # MARKS bits, whatever the input
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.column(0).to_numpy(zero_copy_only=False)
-            marked = batch.filter(pa.array((shared.value[at >> 3] >> (7 - (at & 7)) & 1).astype(bool)))
-            for block in blocks(iter([marked])):
-                h, first = _sets(block, width)
-                f1, f2 = _hashes(h, first)
-                lists = pa.ListArray.from_arrays(pa.array(first.astype(np.int32)), pa.array(h.view(np.int64)))
-                yield pa.record_batch([pa.array(f1), pa.array(f2), lists], names=["f1", "f2", "shingles"]).filter(pa.array(np.diff(first) > 0))
-
-    return data.select(_mark(F.col("id")).alias("mark"), "text").mapInArrow(run, "f1 long, f2 long, shingles array<long>")
+    place = np.arange(len(order)) - np.repeat(first[:-1], lengths) + alone[owner]
+    inside = (place < (sizes - least + matches)[owner]) & (lengths >= least)[owner]
+    return order[inside], place[inside], matches
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -202,31 +178,31 @@ def components(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).where("a <> b").distinct()
     graph, known = written(both, "graph"), None
     while not graph.isEmpty():
-        pointer = written(graph.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")), "pointers")
+        pointer = written(graph.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("root")), "pointers", release=False)
         while True:
             on = pointer.select(F.col("a").alias("root"), F.col("root").alias("next"))
-            jumped = written(pointer.join(on, "root", "left").select("a", F.coalesce("next", "root").alias("root"), (F.coalesce("next", "root") != F.col("root")).alias("moved")), "pointers")
+            jumped = written(pointer.join(on, "root", "left").select("a", F.coalesce("next", "root").alias("root"), (F.coalesce("next", "root") != F.col("root")).alias("moved")), "pointers", release=False)
             moved = not jumped.where("moved").isEmpty()
             dropped(pointer)
             pointer = jumped.select("a", "root")
             if not moved:
                 break
         a, b = pointer.select("a", F.col("root").alias("ra")), pointer.select(F.col("a").alias("b"), F.col("root").alias("rb"))
-        smaller = written(graph.join(a, "a").join(b, "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "graph")
+        smaller = written(graph.join(a, "a").join(b, "b").where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "graph", release=False)
         dropped(graph)
         graph = smaller
         if known is None:
             known = pointer.select(F.col("a").alias("node"), "root")
         else:
             on = pointer.select(F.col("a").alias("root"), F.col("root").alias("next"))
-            known = written(known.join(on, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "roots")
+            known = written(known.join(on, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "roots", release=False)
     return known if known is not None else both.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def _relabelled(labels: DataFrame, roots: DataFrame) -> DataFrame:
     on = roots.select(F.col("node").alias("component"), "root")
-    moved = labels.join(on, "component", "left").select("node", "common", F.coalesce("root", "component").alias("component"))
-    return written(moved, "labels")
+    moved = labels.join(on, "component", "left").select("node", F.coalesce("root", "component").alias("component"))
+    return written(moved, "labels", release=False)
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
@@ -259,33 +235,45 @@ def clusters(df: DataFrame, width: int = 3, threshold: Fraction = Fraction(9, 10
     """
     like = Similarity(threshold, width)
     data = id_and_text(df, id_col, text_col)
-    counts = _shingle_counts(data, width)
-    rows = written(_entries(data, counts, like), "join-rows")
-    classes = rows.where("f1 is not null").groupBy("f1", "f2").agg(F.first("size").alias("size"), F.first("matches").alias("matches"), F.min("id").alias("least"), F.first("prefix").alias("prefix"))
-    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "join-classes")
-    spread = classes.select("node", F.col("size").cast("int").alias("size"), F.col("matches").cast("short").alias("matches"), F.posexplode("prefix").alias("place", "token"))
-    again = spread.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
+    candidates = _candidates(data, like)
+    rows = written(_rows(data, width, marks(candidates, MARKS)), "join-rows", release=False)
+    classes = rows.where("f1 is not null").groupBy("f1", "f2").agg(F.first("size").alias("size"), F.min("id").alias("least"), F.min(F.expr("if(shingles is null, null, task)")).alias("task"))
+    classes = written(classes.join(candidates.withColumn("near", F.lit(True)), ["f1", "f2"], "left").withColumn("node", F.monotonically_increasing_id()), "join-classes")
+    dropped(candidates)
+    nodes = classes.where("near").select("node", "f1", "f2", "task")
+    sets = written(rows.where("shingles is not null").join(nodes, ["f1", "f2", "task"]).select("node", "size", "shingles"), "join-sets")
+    found = _components_of(sets, like)
+    best = classes.where("near").select("node", "least").join(found, "node").groupBy("component").agg(F.min("least").alias("component_id"))
+    best = found.join(best, "component").select("node", "component_id")
+    named = classes.join(best, "node", "left").select("f1", "f2", F.coalesce("component_id", "least").alias("component_id"))
+    named = rows.where("f1 is not null").select("id", "size", "f1", "f2").join(named, ["f1", "f2"]).select("id", "size", "component_id")
+    every = named.union(rows.where("f1 is null").select("id", "size", F.col("id").alias("component_id")))
+    return every.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+
+
+def _components_of(sets: DataFrame, like: Similarity) -> DataFrame:
+    """``(node, component)`` of nodes with a similar one (others may be missing), from ``sets (node, size, shingles)``."""
+    index = written(_index(sets, like), "join-prefixes")
+    again = index.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
     # Shingles before it that other prefixes have, too: no more than those can be shared.
     rank = F.row_number().over(Window.partitionBy("node").orderBy("place")) - 1
-    live = written(spread.join(again, "token").withColumn("rank", rank), "join-index")
-    labels = written(live.groupBy("node").agg(F.count("*").alias("common")).withColumn("component", F.col("node")), "labels")
+    live = index.join(again, "token").withColumn("rank", rank).withColumn("common", F.count("*").over(Window.partitionBy("node")))
+    live = written(live.withColumn("component", F.col("node")), "join-index")
+    dropped(index)
+    labels = written(live.select("node", F.col("node").alias("component")).distinct(), "labels", release=False)
     before = None
     for step in range(ROUNDS + 1):
-        placed = live.join(labels, "node")
         # A set most of whose shingles are shared is the middle of its group; later rounds take other components by chance.
         chance = F.xxhash64("component", F.lit(step)) if step else F.lit(0).cast("long")
-        groups = placed.groupBy("token", "component").agg(F.count("*").alias("n"), F.max(F.struct(chance.alias("by"), "common", "node", "size", "matches", "place", "rank")).alias("hub"))
-        tokens = groups.groupBy("token").agg(
-            F.count("*").alias("parts"), F.sum("n").alias("all"), F.sum(F.col("n") * F.col("n")).alias("within"),
-            F.max(F.struct("n", "component")).alias("major"), F.max("hub").alias("hub"),
-        ).where("parts > 1").select("token", "all", F.col("major.component").alias("major"), F.col("major.n").alias("held"), "hub")
-        tokens = written(tokens, "join-tokens")
+        groups = live.groupBy("token", "component").agg(F.count("*").alias("n"), F.max(F.struct(chance.alias("by"), "common", "node", "size", "matches", "place", "rank")).alias("hub"))
+        tokens = groups.groupBy("token").agg(F.count("*").alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("major"), F.max("hub").alias("hub")).where("parts > 1")
+        tokens = written(tokens.select("token", "all", F.col("major.component").alias("major"), F.col("major.n").alias("held"), "hub"), "join-tokens", release=False)
         left = tokens.agg(F.sum((F.col("all") - F.col("held")) * F.col("all")), F.sum("all")).first()
         if left[0] is None:
             break
         last = step == ROUNDS or left[0] <= PAIRS_LEFT * left[1] or (before is not None and 2 * left[0] > before)
         before = left[0]
-        mine = placed.select("token", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("matches").alias("mb"), F.col("place").alias("pb"), F.col("rank").alias("rb"), F.col("component").alias("cb"))
+        mine = live.select("token", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("matches").alias("mb"), F.col("place").alias("pb"), F.col("rank").alias("rb"), F.col("component").alias("cb"))
         if last:
             minor = mine.join(tokens.select("token", "major"), "token").where("cb <> major")
             minor = minor.select("token", "major", *[F.col(c + "b").alias(c + "a") for c in "nmprc"], F.col("b").alias("a"))
@@ -297,20 +285,22 @@ def clusters(df: DataFrame, width: int = 3, threshold: Fraction = Fraction(9, 10
         slack = like.slack("na", "nb", "pa", "pb")
         pairs = pairs.where(like.sizes_fit("na", "nb") & (F.least("ra", "rb") + slack >= 0)).select("a", "b", F.least("ma", "mb").alias("asked"), slack.alias("slack"))
         pairs = written(_asked(pairs, last), "join-pairs")
-        nodes = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        sets = _needed(data, width, written(nodes.join(classes, "node").select("node", "f1", "f2", "least"), "join-needed"))
         edges = _similar(pairs, sets, like)
         ends = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
         others = labels.select(F.col("node").alias("b"), F.col("component").alias("cb"))
         joined = edges.join(ends, "a").join(others, "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
-        labels = _relabelled(labels, components(joined))
+        moved = _relabelled(labels, components(joined))
+        dropped(pairs)
+        dropped(labels)
+        labels = moved
         if last:
             break
-    best = labels.join(classes.select("node", "least"), "node")
-    best = best.groupBy("component").agg(F.min("least").alias("component_id"))
-    found = labels.join(best, "component").select("node", "component_id")
-    named = classes.join(found, "node", "left").select("f1", "f2", F.coalesce("component_id", "least").alias("component_id"))
-    return rows.select("id", "size", "f1", "f2").join(named, ["f1", "f2"], "left").select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
+        rest = written(live.drop("component").join(tokens.select("token"), "token").join(labels, "node"), "join-index")
+        dropped(tokens)
+        dropped(live)
+        live = rest
+    dropped(live)
+    return labels
 
 
 def one_of_each(df: DataFrame, width: int = 5, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -326,10 +316,3 @@ def one_of_each(df: DataFrame, width: int = 5, threshold: Fraction = Fraction(4,
     first = numbered.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "row")).alias("first"))
     kept = written(first.select(F.col("first.row").alias("row")), "join-kept")
     return base.join(kept, "row", "left_semi").select("document.*")
-
-
-def _needed(data: DataFrame, width: int, nodes: DataFrame) -> DataFrame:
-    """``(node, shingles)`` of the nodes ``(node, f1, f2, least)``, written."""
-    found = _whole_sets(data, width, _marks(nodes)).join(nodes, ["f1", "f2"])
-    one = found.groupBy("f1", "f2").agg(F.first("node").alias("node"), F.first("shingles").alias("shingles"))  # as the join lies
-    return written(one.select("node", "shingles"), "join-sets")
