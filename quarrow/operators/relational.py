@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -24,16 +24,6 @@ def null_statistics(df: DataFrame, *columns: str) -> DataFrame:
     return df.agg(F.count("*").alias("row_count"), *[(F.count("*") - F.count(c)).alias(f"{c}_nulls") for c in columns])
 
 
-def batch_counts(df: DataFrame, rows: int) -> DataFrame:
-    """``(batch, row_count)`` as a reader with batches of ``rows`` rows cuts the result.
-
-    Only the total decides: every batch is full but the last, so nothing is numbered or sorted.
-    """
-    total = df.agg(F.count("*").alias("total"))
-    full = total.select("total", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.expr(f"(total - 1) div {rows}"), F.lit(0)))).alias("batch"))
-    return full.where("total > 0").select("batch", F.least(F.lit(rows).cast("long"), F.col("total") - F.col("batch") * rows).alias("row_count"))
-
-
 def ordered(column: str | Column, descending: bool = False, nulls: str | None = None) -> Column:
     """A sort key; without ``nulls`` ('first' or 'last') nulls are the largest values."""
     key = F.col(column) if isinstance(column, str) else column
@@ -46,3 +36,16 @@ def ordered(column: str | Column, descending: bool = False, nulls: str | None =
 def top_k(df: DataFrame, k: int, *keys: Column) -> DataFrame:
     """The first ``k`` rows under ``keys``: each task keeps k, the driver's merge k."""
     return df.orderBy(*keys).limit(k)
+
+
+def as_of_join(left: DataFrame, right: DataFrame, on: str, by: str, value: str) -> DataFrame:
+    """``left`` with ``value`` of the latest ``right`` row of its ``by`` group at or before its ``on``.
+
+    Both sides go through one exchange on ``by`` and one sort; no pairs are made.
+    Rows without an earlier one get null; of equal ``on`` the largest value counts.
+    """
+    names = left.columns
+    rows = left.select(F.col(by).alias("g"), F.col(on).alias("t"), F.lit(1).alias("side"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.lit(None).cast(right.schema[value].dataType).alias("v"))
+    marks = right.select(F.col(by).alias("g"), F.col(on).alias("t"), F.lit(0).alias("side"), F.lit(None).cast(rows.schema["row"].dataType).alias("row"), F.col(value).alias("v"))
+    before = Window.partitionBy("g").orderBy("t", "side", "v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return rows.unionByName(marks).withColumn("found", F.last("v", ignorenulls=True).over(before)).where("side = 1").select("row.*", F.col("found").alias(value))

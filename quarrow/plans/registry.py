@@ -12,10 +12,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as C
-from ..operators import batch_counts, five_aggregates, ordered, series, top_k
+from ..operators import five_aggregates, ordered, series, top_k
 from ..operators import null_statistics as nulls_of
 from ..session import Engine
-from ..sources import catalog, register, table
+from ..sources import TABLES, catalog, register, table
 from . import extensions
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -77,8 +77,7 @@ def time_micros(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @frame("SELECT event_id, CAST(ts AS TIME) AS time_value FROM events")
 def types_time(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.timeType.enabled", "true")
-    return table(spark, sf_dir, "events").select("event_id", C.time_of_day(F.col("ts")).alias("time_value"))
+    return table(Engine(spark).spark, sf_dir, "events").select("event_id", C.time_of_day(F.col("ts")).alias("time_value"))
 
 
 @frame("SELECT l_orderkey, l_linenumber, CAST(l_linenumber * 12 + 2 AS INTEGER) AS months, CAST(l_quantity AS INTEGER) AS days, CAST(4 * 3600 + 5 * 60 AS BIGINT) * 1000000000 + CAST(round(l_discount * 1000000) AS BIGINT) * 1000 AS nanoseconds FROM lineitem")
@@ -92,7 +91,7 @@ source("bytea_literal", "SELECT '\\xDEADBEEF'::bytea AS bytes_value", oracle="SE
 source("literal_values", "SELECT 1 AS num, 'hello' AS txt, true AS flag")
 source("mixed_types", "SELECT 42::int4 AS int_value, 'text'::text AS text_value, true::bool AS bool_value, '2024-08-15'::date AS date_value, 7::int2 AS small_value")
 source("all_nulls", "SELECT NULL::bool AS a, NULL::int4 AS b, NULL::text AS c, NULL::date AS d, NULL::bytea AS e")
-source("values_with_nulls", "SELECT id, name, score, active FROM (VALUES (1, 'Alice', 95.5::float8, true), (2, NULL, 87.0::float8, false), (3, 'Carol', NULL, true), (4, 'Dave', 92.25::float8, NULL)) AS mixed_data(id, name, score, active)")
+source("values_with_nulls", "SELECT id, name, score, active FROM (VALUES (10, 'granite', 2.7::float8, NULL), (20, 'pumice', NULL, true), (30, NULL, 2.6::float8, false), (40, 'slate', 2.8::float8, true), (NULL, NULL, NULL, NULL)) AS stones(id, name, score, active)")
 
 
 # Expressions --------------------------------------------------------------------
@@ -156,18 +155,26 @@ def null_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @frame("SELECT batch, count(*) AS row_count FROM (SELECT (row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey) - 1) // 20000 AS batch FROM lineitem) GROUP BY batch")
 def batch_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return batch_counts(table(spark, sf_dir, "lineitem"), 20_000)
+    """Row counts of the batches that a reader gives; it drains the whole table."""
+    register(spark, sf_dir, ("lineitem",))
+    with Engine(spark).query("SELECT l_orderkey, l_linenumber FROM lineitem", batch_rows=20_000) as reader:
+        counts = [(k, batch.num_rows) for k, batch in enumerate(reader)]
+    return spark.createDataFrame(counts, "batch long, row_count long")
 
 
-@frame()
+@frame(f"SELECT unnest([{', '.join(repr(t) for t in TABLES)}]) AS table_name, true AS is_temporary")
 def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the engine's catalog lists, of the tables that this query registers."""
     register(spark, sf_dir)
-    return catalog(spark)
+    return catalog(Engine(spark).spark).where(F.col("table_name").isin(*TABLES))
 
 
-@frame()
+@frame("SELECT 1000 AS row_count, 0 AS outside, true AS varied, true AS repeatable")
 def random_values(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return series(spark, 1, 1000, name="id").withColumn("value", F.rand(42))
+    """What can be told of random numbers: how many, in [0, 1), not all alike, equal for equal seeds."""
+    drawn = series(spark, 1, 1000, name="id").select(F.rand(42).alias("value"), F.rand(42).alias("again"))
+    outside = F.count(F.when((F.col("value") < 0) | (F.col("value") >= 1), True))
+    return drawn.agg(F.count("*").cast("int").alias("row_count"), outside.cast("int").alias("outside"), (F.count_distinct("value") > 900).alias("varied"), F.min(F.col("value") == F.col("again")).alias("repeatable"))
 
 
 for _name, (_run, _sql) in extensions.ALL.items():

@@ -42,10 +42,12 @@ def explained(failure: Exception) -> str:
 
 
 class Engine:
-    """Answers queries over one Spark session.
+    """Answers queries over one Spark session, :attr:`spark`.
 
-    Without a session one is made and owned; an adopted one is left running by
-    :meth:`close`. Closing twice is fine; queries on a closed engine fail.
+    Without a session one is made and owned. Of a given one the engine takes a
+    clone that sees its views, functions and settings of now; the given session
+    keeps its own settings and is left running by :meth:`close`. Closing twice is
+    fine; queries on a closed engine fail.
     """
 
     def __init__(self, spark: SparkSession | None = None, *, master: str | None = None, config: dict[str, str] | None = None, batch_rows: int = BATCH_ROWS):
@@ -56,8 +58,8 @@ class Engine:
                 builder = builder.master(master) if master else builder
                 spark = builder.config(map=SETTINGS | (config or {})).getOrCreate()
             else:
-                spark = spark.newSession() if config is not None else spark
-            for key, value in SETTINGS.items():
+                spark = type(spark)(spark._sc, spark._jsparkSession.cloneSession())
+            for key, value in (SETTINGS | (config or {})).items():
                 spark.conf.set(key, value)
         except Exception as failure:
             raise SessionError(f"failed to acquire a session: {explained(failure)}") from failure

@@ -1,5 +1,5 @@
 """Where rows come from."""
 
-from .tables import TABLES, catalog, register, table
+from .tables import TABLES, catalog, read, register, scratch, table, write
 
-__all__ = ["TABLES", "catalog", "register", "table"]
+__all__ = ["TABLES", "catalog", "read", "register", "scratch", "table", "write"]

@@ -1,48 +1,112 @@
 """Result batches: a finite result pulled as Arrow record batches of a fixed size.
 
-Partitions are encoded to Arrow by the executors and come to the driver a few at a
-time, in order, so the driver holds those and a batch, not the result. Batches are
-cut anew there: all are full but the last.
+A thread of each reader runs jobs over a few partitions at a time, in order, one
+group ahead of what is read; executors encode Arrow in the JVM. So the driver
+holds two such groups and a batch, not the result. Batches are cut anew there:
+all are full but the last. Jobs start when a reader is opened.
 """
 
 from __future__ import annotations
 
+import contextlib
+import queue
 import threading
+import time
 import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark import InheritableThread
+from pyspark.serializers import NoOpSerializer
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ..errors import QueryError, StateError
 from ..types import delivered, to_contract
 
 #: Rows in a batch where nothing else is asked for.
 BATCH_ROWS = 200_000
-#: Partitions that are computed together, and held by the driver at most.
+#: Partitions that are computed together.
 AHEAD = 8
 
 
-def _encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Record batches as IPC streams, one to a row."""
-    for batch in batches:
-        sink = pa.BufferOutputStream()
-        with pa.ipc.new_stream(sink, batch.schema) as writer:
-            writer.write_batch(batch)
-        yield pa.record_batch([pa.array([sink.getvalue().to_pybytes()], pa.binary())], names=["ipc"])
+class Feed:
+    """The Arrow batches of a DataFrame in order of its partitions; iterate once.
 
+    Its jobs run in a thread and a job group of their own, so that neither the
+    caller's thread nor other feeds notice a :meth:`stop`.
+    """
 
-def _payloads(rows: Iterator) -> list[bytes]:
-    return [bytes(row[0]) for row in rows]
+    def __init__(self, df: DataFrame, ahead: int = AHEAD):
+        self._df, self._ahead = delivered(df), ahead
+        self._group = f"quarrow-{uuid.uuid4().hex}"
+        self._ready: queue.Queue = queue.Queue(maxsize=1)
+        self._taken, self._stopped = threading.Semaphore(1), threading.Event()
+        self._thread = InheritableThread(target=self._run, name=self._group, daemon=True)
+        self._thread.start()
 
+    def _run(self) -> None:
+        context = self._df.sparkSession.sparkContext
+        try:
+            context.setJobGroup(self._group, "batches", True)
+            rows = self._df._jdf.toArrowBatchRdd().toJavaRDD()
+            for first in range(0, total := rows.getNumPartitions(), self._ahead):
+                chosen = context._jvm.java.util.ArrayList()
+                for k in range(first, min(first + self._ahead, total)):
+                    chosen.add(k)
+                while not self._taken.acquire(timeout=0.5):
+                    if self._stopped.is_set():
+                        return
+                if self._stopped.is_set():
+                    return
+                served = context._jvm.PythonRDD.runJob(context._jsc.sc(), rows, chosen)
+                self._offer(list(_from_socket(served)))
+            self._offer(None)
+        except BaseException as failure:
+            self._offer(failure)
+
+    def _offer(self, item: object) -> None:
+        while not self._stopped.is_set():
+            try:
+                return self._ready.put(item, timeout=0.5)
+            except queue.Full:
+                continue
+
+    def __iter__(self) -> Iterator[pa.RecordBatch]:
+        schema = to_arrow_schema(self._df.schema)
+        while (group := self._ready.get()) is not None:
+            if isinstance(group, BaseException):
+                raise group
+            self._taken.release()
+            group.reverse()
+            while group:
+                yield pa.ipc.read_record_batch(pa.py_buffer(group.pop()), schema)
+
+    def stop(self) -> None:
+        """Cancel its jobs; from any thread. What waits for a batch gets an error."""
+        if not self._stopped.is_set():
+            self._stopped.set()
+            self._cancel_jobs()
+            if self._thread.is_alive():  # and may be about to start another job
+                InheritableThread(target=self._cancel_until_ended, daemon=True).start()
+        with contextlib.suppress(queue.Full):
+            self._ready.put_nowait(RuntimeError("stopped"))
+
+
+    def _cancel_jobs(self) -> None:
+        self._df.sparkSession.sparkContext.cancelJobGroup(self._group)
 
-def arrow_batches(df: DataFrame, ahead: int = AHEAD) -> Iterator[pa.RecordBatch]:
-    """The Arrow batches of ``df`` in order of its partitions, ``ahead`` partitions at a time."""
-    encoded = delivered(df).mapInArrow(_encoded, "ipc binary").rdd  # jobs over chosen partitions need an RDD
-    total = encoded.getNumPartitions()
-    for first in range(0, total, ahead):
-        for payload in encoded.context.runJob(encoded, _payloads, range(first, min(first + ahead, total))):
-            yield from pa.ipc.open_stream(payload)
+    def _cancel_until_ended(self) -> None:
+        with contextlib.suppress(Exception):  # the session may end meanwhile
+            while self._thread.is_alive():
+                self._cancel_jobs()
+                time.sleep(0.2)
+
+
+def _from_socket(served: object) -> Iterator[bytes]:
+    from pyspark.core.rdd import _load_from_socket
+
+    return _load_from_socket(served, NoOpSerializer())
 
 
 def recut(batches: Iterator[pa.RecordBatch], schema: pa.Schema, rows: int) -> Iterator[pa.RecordBatch]:
@@ -79,9 +143,9 @@ class BatchReader:
 
     def __init__(self, df: DataFrame, schema: pa.Schema, sql: str = "", batch_rows: int = BATCH_ROWS, explain: Callable[[Exception], str] = str):
         self.schema, self.batch, self.error = schema, None, None
-        self._df, self._sql, self._explain, self._rows = df, sql, explain, batch_rows
-        self._group = f"quarrow-{uuid.uuid4().hex}"
-        self._batches: Iterator[pa.RecordBatch] | None = None
+        self._sql, self._explain = sql, explain
+        self._feed = Feed(df)
+        self._batches = recut(iter(self._feed), schema, batch_rows)
         self._open, self._cancelled, self._references = True, False, 1
         self._lock = threading.Lock()
 
@@ -94,10 +158,6 @@ class BatchReader:
             self.error = QueryError(self._sql, "select_execution", "context canceled")
             return False
         try:
-            if self._batches is None:
-                context = self._df.sparkSession.sparkContext
-                context.setJobGroup(self._group, "batches", True)
-                self._batches = recut(arrow_batches(self._df), self.schema, self._rows)
             self.batch = next(self._batches, None)
         except Exception as failure:
             message = "context canceled" if self._cancelled else self._explain(failure)
@@ -118,7 +178,7 @@ class BatchReader:
     def cancel(self) -> None:
         """Stop running jobs of this reader; can be called from any thread."""
         self._cancelled = True
-        self._df.sparkSession.sparkContext.cancelJobGroup(self._group)
+        self._feed.stop()
 
     def retain(self) -> None:
         """One more holder, who will call :meth:`close` as well."""
@@ -134,9 +194,8 @@ class BatchReader:
             if self._references:
                 return
             self._open = False
-        started, self._batches, self.batch = self._batches, None, None
-        if started is not None:
-            self._df.sparkSession.sparkContext.cancelJobGroup(self._group)
+        self._batches, self.batch = iter(()), None
+        self._feed.stop()
 
     def __enter__(self) -> BatchReader:
         return self
@@ -172,7 +231,7 @@ class Extractor:
     def start(self, sql: str, *args: object) -> None:
         if self._batches is not None:
             raise StateError("parsing already in progress")
-        self._batches = recut(arrow_batches(self._checked(sql, args)), self.schema, self._rows)
+        self._batches = recut(iter(Feed(self._checked(sql, args))), self.schema, self._rows)
 
     def next_batch(self) -> tuple[pa.RecordBatch | None, bool]:
         """``(batch, done)``; a short batch is the last, a full one may be followed by none."""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,13 +13,22 @@ def stream(spark: SparkSession, folder: str, schema: StructType, files_per_trigg
     return (reader.option("maxFilesPerTrigger", files_per_trigger) if files_per_trigger else reader).parquet(folder)
 
 
-def windowed(events: DataFrame, time: str, value: str, *keys: str, width: str = "1 hour", late: str = "10 minutes") -> DataFrame:
-    """Count and sum per tumbling window and keys; rows later than ``late`` are left out.
+def windowed(events: DataFrame, time: str, value: str, *keys: str, width: str = "1 hour", slide: str | None = None, late: str = "10 minutes") -> DataFrame:
+    """Count and sum per window and keys; rows later than ``late`` are left out.
 
-    State is dropped once a window is past the watermark, so it does not grow
-    with the stream. Works on finite frames as well.
+    Windows tumble, or with ``slide`` a new one starts after each such time. State
+    is dropped once a window is past the watermark, so it does not grow with the
+    stream. Works on finite frames as well.
     """
-    moment = F.col(time).cast("timestamp")
-    grouped = events.withColumn("at", moment).withWatermark("at", late).groupBy(F.window("at", width), *keys)
-    totals = grouped.agg(F.count("*").alias("row_count"), F.sum(value).alias("sum_value"))
+    return _totals(events, time, value, keys, late, F.window("at", width, slide) if slide else F.window("at", width))
+
+
+def sessions(events: DataFrame, time: str, value: str, *keys: str, gap: str = "30 minutes", late: str = "10 minutes") -> DataFrame:
+    """As :func:`windowed`, by runs of rows of the same keys with less than ``gap`` between neighbours."""
+    return _totals(events, time, value, keys, late, F.session_window("at", gap))
+
+
+def _totals(events: DataFrame, time: str, value: str, keys: tuple[str, ...], late: str, window: Column) -> DataFrame:
+    timed = events.withColumn("at", F.col(time).cast("timestamp")).withWatermark("at", late)
+    totals = timed.groupBy(window.alias("window"), *keys).agg(F.count("*").alias("row_count"), F.sum(value).alias("sum_value"))
     return totals.select(F.col("window.start").alias("window_start"), *keys, "row_count", "sum_value")

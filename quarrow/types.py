@@ -10,7 +10,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -117,6 +119,18 @@ def delivered(df: DataFrame) -> DataFrame:
 def to_contract(array: pa.Array, kind: pa.DataType) -> pa.Array:
     """An array from Spark as the contract's type."""
     if kind == pa.month_day_nano_interval():
-        parts = [None if v is None or v["months"] is None else pa.MonthDayNano([v["months"], v["days"], v["nanoseconds"]]) for v in array.to_pylist()]
-        return pa.array(parts, kind)
+        return _intervals(array)
+    if pa.types.is_timestamp(kind) and pa.types.is_timestamp(array.type):
+        return array.cast(kind, safe=False)  # coarser units cut the rest off, towards zero
     return array if array.type == kind else array.cast(kind)
+
+
+def _intervals(array: pa.StructArray) -> pa.Array:
+    """Month-day-nano values, sixteen bytes each, from a struct's three children."""
+    parts = array.flatten()
+    missing = pc.or_(array.is_null(), parts[0].is_null())
+    values = np.zeros(len(array), np.dtype([("months", "<i4"), ("days", "<i4"), ("nanoseconds", "<i8")]))
+    for name, part in zip(values.dtype.names, parts, strict=True):
+        values[name] = part.fill_null(0).to_numpy(zero_copy_only=False)
+    valid = np.packbits(~missing.to_numpy(zero_copy_only=False), bitorder="little")
+    return pa.Array.from_buffers(pa.month_day_nano_interval(), len(array), [pa.py_buffer(valid), pa.py_buffer(values)])

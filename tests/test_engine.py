@@ -122,6 +122,48 @@ def test_extractor(engine):
 
 
 def test_extractor_units(engine):
-    for unit, value in (("s", 1723725296), ("ms", 1723725296789), ("us", 1723725296789000), ("ns", 1723725296789000000)):
-        table = engine.extractor(pa.schema([("t", pa.timestamp("us"))])).parse_all("SELECT '2024-08-15 12:34:56.789'::timestamp AS t")
-        assert table.column(0).cast(pa.timestamp(unit), safe=False).cast(pa.int64()).to_pylist() == [value]
+    for unit, value in (("s", -446_751_900), ("ms", -446_751_900_123), ("us", -446_751_900_123_456), ("ns", -446_751_900_123_456_000)):
+        sql = "SELECT '1955-11-05 06:14:59.876544'::timestamp AS t"
+        kind = pa.timestamp(unit)
+        assert engine.extractor(pa.schema([("t", kind)])).parse_all(sql).column(0).cast(pa.int64()).to_pylist() == [value]
+        extractor = engine.extractor(pa.schema([("t", kind)]))
+        extractor.start(sql)
+        assert extractor.next_batch()[0].column(0).cast(pa.int64()).to_pylist() == [value]
+
+
+LONG = "SELECT count(*) AS n FROM generate_series(1, 2000000000) a JOIN generate_series(1, 1000) b ON a.a % 7 > b.b"
+
+
+def test_cancel_stops_its_own_reader_only(engine):
+    first = engine.query("SELECT i FROM generate_series(1, 1000) i", batch_rows=10)
+    slow = engine.query(LONG)
+    assert first.next()
+    threading.Timer(0.5, slow.cancel).start()
+    start = time.monotonic()
+    assert slow.next() is False and "context" in str(slow.error) and time.monotonic() - start < 20
+    assert first.next() and sum(b.num_rows for b in first) == 980
+    other = engine.query(LONG)
+    third = engine.query("SELECT 1 AS n")
+    assert third.next() and third.batch.num_rows == 1
+    third.close()
+    other.close()
+    assert not other.next()
+    assert engine.spark.sparkContext.getLocalProperty("spark.jobGroup.id") is None
+
+
+def test_jobs_start_when_a_reader_is_opened(engine):
+    reader = engine.query("SELECT 10 / (i - 500) AS v FROM generate_series(1, 1000) i")
+    deadline = time.monotonic() + 20
+    while reader._feed._ready.empty() and time.monotonic() < deadline:
+        time.sleep(0.05)
+    assert not reader._feed._ready.empty() and reader.next() is False and "division by zero" in str(reader.error)
+
+
+def test_a_given_session_keeps_its_settings(spark):
+    names = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.timeType.enabled", "spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.sql("SELECT 5 AS held").createOrReplaceTempView("seen_by_the_engine")
+    before = {k: spark.conf.get(k) for k in names}
+    with Engine(spark, config={"spark.sql.session.timeZone": "Asia/Tokyo"}) as adopted:
+        assert adopted.query("SELECT held FROM seen_by_the_engine").read_all().to_pylist() == [{"held": 5}]
+        assert adopted.spark.conf.get("spark.sql.session.timeZone") == "Asia/Tokyo"
+    assert {k: spark.conf.get(k) for k in names} == before

@@ -4,10 +4,11 @@ import datetime as dt
 import math
 
 import duckdb
+import pyarrow.parquet as pq
 import pytest
 
 from quarrow import plans
-from quarrow.sources import TABLES
+from quarrow.sources import TABLES, register
 
 from .conftest import DATA
 
@@ -45,21 +46,23 @@ def test_query_matches_its_twin(spark, duck, name):
     assert rows == sorted((tuple(plain(r[k]) for k in order) for r in twin.fetchall()), key=repr)
 
 
-def test_fixtures_of_joins_aggregates_and_nulls(spark, engine):
-    for name, sql in {
-        "users": "SELECT * FROM VALUES (1, 'Alice'), (2, 'Bob') AS t(id, name)",
-        "user_orders": "SELECT * FROM VALUES (1, 1, 100D), (2, 1, 200D), (3, 2, 150D) AS t(id, user_id, amount)",
-        "employees": "SELECT * FROM VALUES (1, 'Alice', 'E', 100000D), (2, 'Bob', 'E', 90000D), (3, 'Carol', 'S', 80000D), (4, 'David', 'S', 85000D) AS t(id, name, department, salary)",
-        "null_test": "SELECT * FROM VALUES (1, 'Alice', true), (2, NULL, false), (NULL, 'Bob', NULL), (NULL, NULL, NULL) AS t(id, name, active)",
-    }.items():
-        spark.sql(sql).createOrReplaceTempView(name)
-    join = "SELECT u.name, SUM(o.amount) AS total FROM users u JOIN user_orders o ON u.id = o.user_id GROUP BY u.name ORDER BY u.name"
-    assert engine.query(join).read_all().to_pylist() == [{"name": "Alice", "total": 300.0}, {"name": "Bob", "total": 150.0}]
-    cte = "WITH d AS (SELECT department, AVG(salary) AS a FROM employees GROUP BY department) SELECT e.name, d.a FROM employees e JOIN d ON e.department = d.department WHERE e.salary > d.a ORDER BY e.name"
-    assert engine.query(cte).read_all().to_pylist() == [{"name": "Alice", "a": 95000.0}, {"name": "David", "a": 82500.0}]
-    ids = engine.query("SELECT id FROM null_test ORDER BY id").read_all().column(0).to_pylist()
-    assert ids == [1, 2, None, None]
-    assert engine.query("SELECT id FROM null_test ORDER BY id NULLS FIRST").read_all().column(0).to_pylist() == [None, None, 1, 2]
+def test_joins_aggregates_and_nulls_of_small_tables(engine):
+    nation = pq.read_table(f"{FOLDER}/nation.parquet").to_pylist()
+    region = {r["r_regionkey"]: r["r_name"] for r in pq.read_table(f"{FOLDER}/region.parquet").to_pylist()}
+    register(engine.spark, FOLDER, ("nation", "region"))
+    sums: dict[str, int] = {}
+    for n in nation:
+        sums[region[n["n_regionkey"]]] = sums.get(region[n["n_regionkey"]], 0) + n["n_nationkey"]
+    join = "SELECT r.r_name, SUM(n.n_nationkey) AS total FROM region r JOIN nation n ON r.r_regionkey = n.n_regionkey GROUP BY r.r_name ORDER BY r.r_name"
+    assert [tuple(r.values()) for r in engine.query(join).read_all().to_pylist()] == sorted(sums.items())
+    held = [n["n_nationkey"] for n in nation]
+    cte = "WITH m AS (SELECT AVG(n_nationkey) AS middle FROM nation) SELECT n.n_nationkey FROM nation n JOIN m ON n.n_nationkey > m.middle ORDER BY 1"
+    assert engine.query(cte).read_all().column(0).to_pylist() == sorted(k for k in held if k > sum(held) / len(held))
+    holed = "SELECT CASE WHEN r_regionkey > 2 THEN NULL ELSE r_regionkey END AS k FROM region ORDER BY k"
+    some = sorted(k for k in region if k <= 2)
+    gaps = [None] * (len(region) - len(some))
+    assert engine.query(holed).read_all().column(0).to_pylist() == some + gaps
+    assert engine.query(holed + " NULLS FIRST").read_all().column(0).to_pylist() == gaps + some
 
 
 def test_filters_and_columns_reach_the_scan(spark):
