@@ -1,13 +1,12 @@
 """Byte-level BPE encoding and decoding by corpus-level merge replay.
 
-The pre-tokens of a block of documents are gathered once each. All of them lie
-in one flat chain of tokens, and an inverted index maps the rank of every token
-pair to the positions where the pair stands. Merges are then replayed over the
-whole chain in rank order; a merge looks only at its two neighbours and files
-the pairs it creates under their own ranks. Results are memoised by pre-token
-(bounded), so that later blocks of the same task replay new pre-tokens only.
-
-There is no shuffle: the rank file is the model, and a task needs nothing else.
+The corpus's distinct pre-tokens are gathered in buckets, each in one place
+(:mod:`.pieces`), and replayed there once. All pre-tokens of a bucket's portion
+lie in one flat chain of tokens, and an inverted index maps the rank of every
+token pair to the positions where the pair stands. Merges are then replayed over
+the whole chain in rank order; a merge looks only at its two neighbours and files
+the pairs it creates under their own ranks. The ids come back to the documents,
+which hold their pre-tokens as numbers.
 """
 
 from __future__ import annotations
@@ -15,6 +14,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,11 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import blocks, id_and_text
+from .pieces import Answers, by_pieces, gathered, parts_of
 
-#: Pre-tokens that a worker keeps encoded; the memo starts anew beyond it.
-MEMO_ENTRIES = 150_000
-#: Longer pre-tokens are encoded, but not kept.
-MEMO_LENGTH = 64
 #: From this length on a word has too many merges of its own to wait for others.
 LONG_WORD = 256
 #: Windows of rising rank in the inverted index.
@@ -269,31 +266,41 @@ def replay_long(words: list[bytes], ranks: Ranks) -> list[bytes]:
 
 
 class Encoder:
-    """Encodes texts in blocks; a Python worker keeps one for all its tasks."""
+    """Cuts texts and encodes pre-tokens; a Python worker keeps one for all its tasks."""
 
     def __init__(self, path: str, pattern: str):
         import regex
 
         self.ranks, self.pieces = ranks_of(path), regex.compile(pattern).findall
-        self.memo: dict[str, bytes] = {}
 
-    def block(self, texts: list[str]) -> list[bytes]:
-        """Each text's ids, packed as little-endian unsigned 32-bit integers."""
-        memo = self.memo
-        if len(memo) > MEMO_ENTRIES:
-            memo.clear()
-        words = [self.pieces(text) for text in texts]
-        new = list(set().union(*words).difference(memo))
-        coded = [w.encode() for w in new]
+    def cut(self, text: str) -> Iterator[tuple[list[str], int]]:
+        """Pre-tokens, part by part."""
+        for part in parts_of(text, _between_words):
+            yield self.pieces(part), 0
+
+    def code(self, pieces: list[str]) -> list[bytes]:
+        """Each pre-token's ids, packed as little-endian unsigned 32-bit integers."""
+        coded = [w.encode() for w in pieces]
         short = [w for w in coded if len(w) < LONG_WORD]
         long = [w for w in coded if len(w) >= LONG_WORD]
         found = dict(zip(short, replay(short, self.ranks), strict=True)) | dict(zip(long, replay_long(long, self.ranks), strict=True))
-        memo.update(zip(new, map(found.__getitem__, coded), strict=True))
-        out = [b"".join([memo[w] for w in pieces]) for pieces in words]
-        for piece in new:
-            if len(piece) > MEMO_LENGTH:
-                del memo[piece]
-        return out
+        return [found[w] for w in coded]
+
+    def block(self, texts: list[str]) -> list[bytes]:
+        """Each text's packed ids, without the exchange: for a few texts."""
+        words = [[piece for part, _ in self.cut(text) for piece in part] for text in texts]
+        distinct = list(set().union(*words))
+        ids = dict(zip(distinct, self.code(distinct), strict=True))
+        return [b"".join([ids[w] for w in pieces]) for pieces in words]
+
+
+_GAP = re.compile(r"(?<=[A-Za-z0-9]) (?=[A-Za-z0-9])")
+
+
+def _between_words(text: str, at: int) -> int:
+    """The first place from ``at`` on before a single space between two words; pre-tokens begin there."""
+    found = _GAP.search(text, at)
+    return found.start() if found else len(text)
 
 
 @functools.lru_cache(maxsize=2)
@@ -301,22 +308,66 @@ def encoder_of(path: str, pattern: str) -> Encoder:
     return Encoder(path, pattern)
 
 
+def _by_pieces(df: DataFrame, path: str, pattern: str, id_col: str, text_col: str, back: bool) -> DataFrame:
+    """``(id_col, ids)``, with the ``bytes`` that they decode to where ``back`` is asked for."""
+
+    def cutter():
+        return encoder_of(path, pattern).cut
+
+    def worker():
+        return encoder_of(path, pattern).code
+
+    def fold(columns: dict[str, pa.Array], _: np.ndarray, counts: np.ndarray, numbers: np.ndarray, answers: Answers) -> pa.RecordBatch:
+        ids, ends = answers.joined(numbers, 4)
+        ends = ends[np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])]
+        out = [columns["id"], _cut(ids.astype("<u4", copy=False), ends)]
+        if back:
+            token = bytes_of(path)
+            data, marks = gathered(token.flat, token.start, token.size, ids)
+            out.append(_cut(data, marks[ends]))
+        return pa.record_batch(out, names=[id_col, "ids", "bytes"][: len(out)])
+
+    data = id_and_text(df, id_col, text_col)
+    schema = f"`{id_col}` {data.schema['id'].dataType.simpleString()}, ids binary" + ", bytes binary" * back
+    return by_pieces(data, cutter, worker, fold, schema)
+
+
+def _cut(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Binary values from one run of numbers."""
+    wide = pa.Array.from_buffers(pa.large_binary(), len(ends) - 1, [None, pa.py_buffer((ends * values.itemsize).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(values))])
+    return wide.cast(pa.binary())
+
+
 def encode(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, ids)``: whole texts as packed little-endian unsigned 32-bit ids.
 
     ``path`` is the rank file on every executor, ``pattern`` the pre-token
-    pattern; no special tokens. Null or empty text: empty ``ids``. Repeated rows
-    stay repeated; extra columns are dropped.
+    pattern; no special tokens. Null or empty text: empty ``ids``. Very long texts
+    are cut in parts before a space between two words, where no pre-token of a
+    pattern spans that takes a space only before a word. Repeated rows stay
+    repeated, an empty table gives an empty result; extra columns are dropped.
     """
+    return _by_pieces(df, path, pattern, id_col, text_col, back=False)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = encoder_of(path, pattern)
-        for block in blocks(batches):
-            packed = encoder.block(block.column(1).to_pylist())
-            yield pa.record_batch([block.column(0), pa.array(packed, pa.binary())], names=[id_col, "ids"])
 
-    data = id_and_text(df, id_col, text_col)
-    return data.mapInArrow(run, f"`{id_col}` {data.schema['id'].dataType.simpleString()}, ids binary")
+class Bytes:
+    """The byte strings of a rank file as one run of bytes."""
+
+    def __init__(self, path: str):
+        token = tokens_of(path)
+        self.flat = np.frombuffer(b"".join(token), np.uint8)
+        self.size = np.array([len(t) for t in token], np.int64)
+        self.start = np.cumsum(self.size) - self.size
+
+
+@functools.lru_cache(maxsize=4)
+def bytes_of(path: str) -> Bytes:
+    return Bytes(path)
+
+
+def decoded(ids: bytes, token: list[bytes]) -> bytes:
+    """The byte string that packed ids stand for."""
+    return b"".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()])
 
 
 def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -328,10 +379,7 @@ def decode(df: DataFrame, path: str, id_col: str = "doc_id", ids_col: str = "ids
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         token = tokens_of(path)
         for block in blocks(batches):
-            texts = [
-                None if ids is None else b"".join([token[i] for i in np.frombuffer(ids, "<u4").tolist()])
-                for ids in block.column(1).to_pylist()
-            ]
+            texts = [None if ids is None else decoded(ids, token) for ids in block.column(1).to_pylist()]
             yield pa.record_batch([block.column(0), block.column(1), pa.array(texts, pa.binary())], names=[id_col, "ids", "bytes"])
 
     data = df.select(F.col(id_col), F.col(ids_col).alias("ids"))
@@ -344,8 +392,8 @@ def round_trip(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", t
 
 
 def tokenised(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """As :func:`round_trip`, with the packed ``ids``."""
-    both = decode(encode(df, path, pattern, id_col, text_col), path, id_col)
+    """As :func:`round_trip`, with the packed ``ids``; both ways in one pass of one worker."""
+    both = _by_pieces(df, path, pattern, id_col, text_col, back=True)
     return both.select(
         F.col(id_col),
         "ids",

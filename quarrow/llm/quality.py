@@ -20,8 +20,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, dropped, written
-from .words import Words, mixed, words_of
+from .common import blocks, dropped, quoted, written
+from .words import SEGMENT, Words, mixed, segments, words_of
 
 #: Buckets of the hashed n-grams; the size of both models.
 BUCKETS = 1 << 14
@@ -46,19 +46,34 @@ def _shapes(words: Words) -> np.ndarray:
     last = np.where(kinds[words.ends - 1] == 0, words.data[words.ends - 1] if len(words.ends) else 0, 0)
     again = np.zeros(len(length), dtype=np.int64)
     again[1:] = words.hashes[1:] == words.hashes[:-1]
+    again[words.first[:-1][np.diff(words.first) > 0]] = 0  # whatever text lies before it in the block
     shape = np.minimum(punct, 3)
     for part, width in ((lower > 0, 2), (np.minimum(upper, 2), 3), (digit > 0, 2), (length, 5), (last, 256), (again, 2)):
         shape = shape * width + part
     return shape
 
 
-def grams(words: Words) -> tuple[np.ndarray, np.ndarray]:
-    """``(buckets, owners)`` of all n-grams: words, shapes, and pairs of shapes."""
-    owner = np.repeat(np.arange(len(words.first) - 1), np.diff(words.first))
-    shape = mixed(_shapes(words).astype(np.uint64) + np.uint64(1))
-    pair = mixed(shape[:-1] * np.uint64(31) + shape[1:])[owner[1:] == owner[:-1]]
-    every = np.concatenate([words.hashes, shape, pair])
-    return (every % np.uint64(BUCKETS)).astype(np.int64), np.concatenate([owner, owner, owner[1:][owner[1:] == owner[:-1]]])
+def grams(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``(buckets, owners)`` of all n-grams: words, shapes, and pairs of shapes.
+
+    They come a segment at a time. Of a text cut in segments, the last two words
+    of one go into the next, where only what they form with new ones counts.
+    """
+    before, carried = -1, b""
+    for index, part in segments(texts):
+        skip = 0
+        if index == before and len(part) == 1:
+            skip = len(carried.split(b" ")) - 1
+            part = pa.array([carried + part[0].as_py()], pa.large_binary())
+        words = words_of(part)
+        owner = np.repeat(np.arange(index, index + len(part)), np.diff(words.first))
+        shape = mixed(_shapes(words).astype(np.uint64) + np.uint64(1))
+        inner = np.flatnonzero(owner[1:] == owner[:-1])[max(0, skip - 1) :]
+        pair = mixed(shape[inner] * np.uint64(31) + shape[inner + 1])
+        every = np.concatenate([words.hashes[skip:], shape[skip:], pair])
+        yield (every % np.uint64(BUCKETS)).astype(np.int64), np.concatenate([owner[skip:], owner[skip:], owner[inner]])
+        before = index + len(part) - 1
+        carried = b"".join([words.data[a:z].tobytes() + b" " for a, z in zip(words.starts[-2:], words.ends[-2:], strict=True)])
 
 
 def models(df: DataFrame, target: Column | str, text_col: str = "text") -> DataFrame:
@@ -66,11 +81,11 @@ def models(df: DataFrame, target: Column | str, text_col: str = "text") -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         raw, good = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-        for block in blocks(batches):
-            found = words_of(block.column(1))
-            bucket, owner = grams(found)
-            raw += np.bincount(bucket, minlength=BUCKETS)
-            good += np.bincount(bucket[block.column(0).to_numpy(zero_copy_only=False).astype(bool)[owner]], minlength=BUCKETS)
+        for block in blocks(batches, limit=SEGMENT):
+            target = block.column(0).to_numpy(zero_copy_only=False).astype(bool)
+            for bucket, owner in grams(block.column(1)):
+                raw += np.bincount(bucket, minlength=BUCKETS)
+                good += np.bincount(bucket[target[owner]], minlength=BUCKETS)
         seen = np.flatnonzero(raw)
         yield pa.record_batch([pa.array(seen.astype(np.int32)), pa.array(good[seen]), pa.array(raw[seen])], names=["bucket", "target", "raw"])
 
@@ -96,9 +111,10 @@ def _scorer(ratios: np.ndarray):
     @F.arrow_udf("double")
     def score(texts: pa.Array) -> pa.Array:
         parts = []
-        for block in blocks([pa.record_batch([texts], names=["text"])], column=0):
-            bucket, owner = grams(words_of(block.column(0)))
-            parts.append(np.bincount(owner, ratios[bucket], minlength=block.num_rows))
+        for block in blocks([pa.record_batch([texts], names=["text"])], column=0, limit=SEGMENT):
+            parts.append(np.zeros(block.num_rows))
+            for bucket, owner in grams(block.column(0)):
+                parts[-1] += np.bincount(owner, ratios[bucket], minlength=block.num_rows)
         return pa.array(np.concatenate(parts) if parts else np.zeros(0))
 
     return score
@@ -145,9 +161,9 @@ class Classifier:
 
     def __init__(self, df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", good: str = "quality = 1", seed: int = 7):
         self.id_col, self.text_col, self.seed = id_col, text_col, seed
-        share = labels.where(F.col(id_col).isNotNull()).agg(F.avg(F.expr(good).cast("double")), F.count("*")).first()
+        share = labels.where(F.col(quoted(id_col)).isNotNull()).agg(F.avg(F.expr(good).cast("double")), F.count("*")).first()
         self.share = 1.0 if share[0] is None else min(1.0, share[0] + 2 * (share[0] * (1 - share[0]) / share[1]) ** 0.5)
-        picked = labels.where(f"({good}) and {id_col} is not null").select(F.col(id_col).alias("id")).distinct()
+        picked = labels.where(F.expr(good) & F.col(quoted(id_col)).isNotNull()).select(F.col(quoted(id_col)).alias("id")).distinct()
         picked = picked.orderBy(F.xxhash64("id"), "id").limit(TARGET_ROWS).withColumn("good", F.lit(True))
         rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(F.broadcast(picked), "id", "left")  # TARGET_ROWS ids at most
         self.ratios = log_ratios(models(rows, F.col("good")))
@@ -178,5 +194,5 @@ def kept_rows(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     scores = written(fitted.scored(df.select(id_col, text_col)).select("perturbed"), "quality-scores")
     threshold = kth_highest(scores, "perturbed", int(np.ceil(fitted.share * scores.count())))
     dropped(scores)
-    row = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"), F.col(id_col), F.col(text_col))
+    row = df.select(F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("row"), F.col(id_col), F.col(text_col))
     return fitted.scored(row.select("row", id_col, text_col)).where(F.col("perturbed") >= threshold).select("row.*")
