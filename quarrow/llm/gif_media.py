@@ -24,6 +24,8 @@ from .common import blocks, id_and_text
 UNIT, UNITS, WIDTH = 576, 8, 48
 #: Time that each frame is shown.
 DELAY_MS = 100
+#: Pixels of a canvas or frame, at most: larger ones, which a few bytes can declare, are damage.
+MOST_PIXELS = 1 << 25
 #: Colours of a histogram: two bits of red, green and blue each.
 BINS = 64
 
@@ -88,19 +90,19 @@ def _packed(values: np.ndarray, widths: np.ndarray) -> bytes:
     return sum(lanes)[:size].astype(np.uint8).tobytes()
 
 
-def lzw_decode(stream: bytes, bits: int) -> bytes:
-    """The samples of an LZW stream whose literals have ``bits`` bits.
+def lzw_decode(stream: bytes, bits: int, most: int | None = None) -> bytes:
+    """The samples of an LZW stream whose literals have ``bits`` bits, at most ``most``.
 
     A stream that ends early or holds a code outside the table gives what came
-    before it.
+    before it. What is held beyond ``most`` are a table's worth of codes.
     """
     clear, end = 1 << bits, (1 << bits) + 1
     data = np.frombuffer(stream + b"\0\0\0", dtype=np.uint8).astype(np.int64)
     words = data[:-2] | data[1:-1] << 8 | data[2:] << 16
-    total, at, out = 8 * len(stream), 0, []
+    total, at, held, out = 8 * len(stream), 0, 0, []
     literals = [bytes([k]) for k in range(clear)]
     widths, starts = _WIDTHS[bits], _STARTS[bits]
-    while True:
+    while most is None or held < most:
         count = min(int(np.searchsorted(starts, total - at, side="right")) - 1, len(widths))
         if count <= 0:
             break
@@ -109,49 +111,46 @@ def lzw_decode(stream: bytes, bits: int) -> bytes:
         stops = np.flatnonzero((codes == clear) | (codes == end))
         stop = int(stops[0]) if len(stops) else count
         table = [*literals, b"", b""]
-        add, emit, last = table.append, out.append, b""
+        add, part, last, good = table.append, [], b"", True
         for code in codes[:stop].tolist():
             if not last:
-                if code >= clear:
-                    return b"".join(out)
-                entry = table[code]
-            else:
-                if code < len(table):
-                    entry = table[code]
-                elif code == len(table) < 4096:
-                    entry = last + last[:1]
-                else:
-                    return b"".join(out)
-                if len(table) < 4096:
-                    add(last + entry[:1])
-            emit(entry)
-            last = entry
-        if stop == count:
-            if count < len(widths):
+                good = code < clear
+            elif code > len(table) or (code == len(table) and code == 4096):
+                good = False
+            if not good:
                 break
-            at += int(starts[count])  # a full table that goes on: nothing is added any more
-            return b"".join(out) + _tail(stream, at, table, last, clear, end)
-        at += int(starts[stop + 1])
-        if int(codes[stop]) == end:
-            break
-    return b"".join(out)
-
-
-def _tail(stream: bytes, at: int, table: list[bytes], last: bytes, clear: int, end: int) -> bytes:
-    """Codes of twelve bits after a table that stays full, up to a clear or end code."""
-    out = []
-    while at + 12 <= 8 * len(stream):
-        code = int.from_bytes(stream[at >> 3 : (at >> 3) + 3], "little") >> (at & 7) & 4095
-        at += 12
-        if code == end:
+            entry = table[code] if code < len(table) else last + last[:1]
+            if last and len(table) < 4096:
+                add(last + entry[:1])
+            part.append(entry)
+            last = entry
+        out.append(b"".join(part))
+        held += len(out[-1])
+        if not good:
             break
-        if code == clear:
-            rest = int.from_bytes(stream[at >> 3 :], "little") >> (at & 7)
-            return b"".join(out) + lzw_decode(rest.to_bytes(len(stream) - (at >> 3), "little"), clear.bit_length() - 1)
-        if code >= len(table):
+        if stop < count:
+            at += int(starts[stop + 1])
+            if int(codes[stop]) == end:
+                break
+        elif count < len(widths):
             break
-        out.append(table[code])
-    return b"".join(out)
+        else:  # a full table that goes on: nothing is added up to the next clear code
+            at += int(starts[count])
+            code = clear
+            while most is None or held < most:
+                places = at + 12 * np.arange(min((total - at) // 12, 4096))
+                codes = words[places >> 3] >> (places & 7) & 4095
+                stops = np.flatnonzero((codes == clear) | (codes == end) | (codes >= len(table)))
+                stop = int(stops[0]) if len(stops) else len(codes)
+                out.append(b"".join([table[c] for c in codes[:stop].tolist()]))
+                held += len(out[-1])
+                at += 12 * min(stop + 1, len(codes))
+                code = int(codes[stop]) if stop < len(codes) else -1
+                if code >= 0 or not len(codes):
+                    break
+            if code != clear:
+                break
+    return b"".join(out)[:most]
 
 
 def encode(data: bytes) -> bytes:
@@ -204,7 +203,11 @@ def _rows(height: int) -> list[int]:
 
 
 def decode(data: bytes) -> list[Frame]:
-    """All frames of a GIF; of a damaged file, those before the damage."""
+    """All frames of a GIF; of a damaged file, those before the damage.
+
+    A frame whose stream ends early is damage, and so is a canvas or frame of more
+    than MOST_PIXELS; nothing is allocated for a frame before its samples are there.
+    """
     if data[:6] not in (b"GIF87a", b"GIF89a") or len(data) < 13:
         return []
     width, height, flags, ground, _ = struct.unpack_from("<HHBBB", data, 6)
@@ -215,8 +218,9 @@ def decode(data: bytes) -> list[Frame]:
         common = np.frombuffer(data[at : at + 3 * size].ljust(3 * size, b"\0"), np.uint8).reshape(size, 3)
         at += 3 * size
     back = common[ground] if common is not None and ground < len(common) else np.zeros(3, np.uint8)
-    canvas = np.empty((height, width, 3), np.uint8)
-    canvas[:] = back
+    if width * height > MOST_PIXELS:
+        return []
+    canvas = None
     frames, clock, control = [], 0, (0, 0, None)
     while at < len(data) and data[at] != 0x3B:
         if data[at] == 0x21:
@@ -238,7 +242,13 @@ def decode(data: bytes) -> list[Frame]:
             break
         bits = data[at]
         stream, at = _blocks(data, at + 1)
-        index = np.frombuffer(lzw_decode(stream, bits)[: w * h].ljust(w * h, b"\0"), np.uint8).reshape(h, w)
+        held = lzw_decode(stream, bits, w * h) if w * h <= MOST_PIXELS else b""
+        if len(held) < w * h or not w * h:
+            break
+        index = np.frombuffer(held, np.uint8).reshape(h, w)
+        if canvas is None:
+            canvas = np.empty((height, width, 3), np.uint8)
+            canvas[:] = back
         if local & 0x40:
             order = np.empty(h, np.int64)
             order[_rows(h)] = np.arange(h)
@@ -283,7 +293,9 @@ _FRAMES = pa.list_(pa.struct([*[(c, pa.int32()) for c in ("start_ms", "delay_ms"
 def texts_to_media(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, n_bytes, media)``: every text's UTF-8 bytes, padded, as a GIF.
 
-    Null and empty texts make one unit of padding. Repeated rows stay repeated.
+    Null and empty texts make one unit of padding; very long ones many frames.
+    Repeated rows stay repeated, an empty table gives an empty result; extra columns
+    are dropped.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -299,7 +311,9 @@ def media_to_frames(df: DataFrame, id_col: str = "doc_id", media_col: str = "med
     """``(id_col, media, payload, frames)``: timed frames with their histograms.
 
     ``payload`` is what the frames' colours stand for. Null or damaged media give
-    the frames before the damage, if any. Columns named in ``keep`` go along.
+    the frames before the damage, if any; media that declare more pixels than
+    MOST_PIXELS are damaged. Columns named in ``keep`` go along, repeated rows stay
+    repeated, an empty table gives an empty result.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -178,7 +178,8 @@ def resampled(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     """``(id_col, log_ratio, perturbed, kept)`` of every row.
 
     ``kept``: among the k highest perturbed scores, k being the share of good
-    labels (two standard errors up) of all rows. Null and empty texts score 0.
+    labels (two standard errors up) of all rows. Null and empty texts score 0, very
+    long ones are read a segment at a time; an empty table gives an empty result.
     Without good labels every row scores 0, and noise alone decides; without
     labels all rows are kept. Rows with one id and text share their fate.
     """

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
+import re
 import struct
+import time
 import zlib
 from collections import Counter
 
@@ -68,6 +71,23 @@ def test_damaged_media():
     for cut in (0, 5, 12, 20, 900, len(whole) // 2):
         gif_media.decode(whole[:cut])
     assert gif_media.decode(b"no image") == []
+    cut = gif([([1, 1, 1, 1], (0, 0, 2, 2), 1, 5, None), ([1, 2], (0, 0, 2, 2), 1, 5, None)])
+    assert len(gif_media.decode(cut)) == 1  # the second frame holds two of its four samples
+
+
+def test_declared_sizes_take_no_memory():
+    start = time.monotonic()
+    assert gif_media.decode(gif([([1], (0, 0, 1, 1), 0, 1, None)], size=(65535, 65535))) == []
+    assert gif_media.decode(gif([([1], (0, 0, 65535, 65535), 0, 1, None)], size=(2, 2))) == []
+    # A table that fills up with ever longer runs, and then repeats the longest.
+    segment = [256, 0, *range(258, 4096), *[4095] * 6000]
+    widths = np.concatenate([[12], gif_media._WIDTHS[8][:3839], np.full(6000, 12)])
+    values, widths = np.array(segment * 30), np.tile(widths, 30)
+    widths[0] = 9
+    assert gif_media.lzw_decode(gif_media._packed(values, widths), 8, 1000) == bytes(1000)
+    two = 2 * len(segment)
+    assert len(gif_media.lzw_decode(gif_media._packed(values[:two], widths[:two]), 8)) == 2 * (sum(range(1, 3840)) + 6000 * 3839)
+    assert time.monotonic() - start < 20
 
 
 @pytest.mark.parametrize("which", ["odd", "docs", "none"])
@@ -85,12 +105,10 @@ def test_texts_stored_as_media(which, request):
 
 
 def test_words_are_those_of_the_pattern():
-    import re
-
     rng = random.Random(4)
     texts = ["".join(rng.choices(["a", "B", " ", "\n", "é", "\t\t", "😀", "word", "\x85", "\xa0"], k=rng.randint(0, 12))) for _ in range(2000)] + [None, "", " "]
     found = words.words_of(pa.array(texts))
-    sets, first = words.distinct(*words.shingles(found, 3))
+    sets, first = words.distinct(*words.shingles(found.hashes, found.first, 3))
     seen = {}
     for k, text in enumerate(texts):
         plain = re.findall(r"[^\x20\x09-\x0D]+", "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or ""))
@@ -103,6 +121,66 @@ def test_words_are_those_of_the_pattern():
     assert len(set(seen.values())) == len(seen) and len(sets) == first[-1]
 
 
+@pytest.mark.parametrize("segment", [64, 1 << 18])
+def test_segments_change_no_word(segment, monkeypatch):
+    monkeypatch.setattr(words, "SEGMENT", segment)
+    rng = random.Random(12)
+    texts = ["".join(rng.choices(["a", "bb ", " \n", "é", "wörd "], k=rng.randint(0, 200))) for _ in range(50)] + [None, "", "x" * 500, "y" * 100 + " z"]
+    whole = words.words_of(pa.array(texts))
+    hashes, first = words.word_hashes(pa.array(texts))
+    assert hashes.tolist() == whole.hashes.tolist() and first.tolist() == whole.first.tolist()
+    found = [Counter() for _ in texts]
+    for bucket, owner in quality.grams(pa.array(texts)):
+        for b, o in zip(bucket.tolist(), owner.tolist(), strict=True):
+            found[o][b] += 1
+    assert found == [Counter(g) for g in by_hand(texts)]
+
+
+def by_hand(texts):
+    """Buckets of every n-gram of each text, word by word."""
+    mix = lambda k: int(words.mixed(np.array([k % (1 << 64)], np.uint64))[0])
+    out = []
+    for text in texts:
+        found = words.words_of(pa.array([text]))
+        raw = re.findall(rb"[^\x20\x09-\x0D]+", (text or "").encode())
+        shapes, before = [], None
+        for word in raw:
+            kinds = [next((k + 1 for k, of in enumerate((range(97, 123), range(65, 91), range(48, 58), range(128, 256))) if b in of), 0) for b in word]
+            shape = min(kinds.count(0), 3)
+            low = word.translate(bytes(b + 32 if 65 <= b < 91 else b for b in range(256)))
+            for part, width in ((1 in kinds, 2), (min(kinds.count(2), 2), 3), (3 in kinds, 2), (sum(len(word) > n for n in (2, 4, 8, 16)), 5), (word[-1] if not kinds[-1] else 0, 256), (low == before, 2)):
+                shape = shape * width + int(part)
+            shapes.append(mix(shape + 1))
+            before = low
+        pairs_ = [mix(a * 31 + b) for a, b in zip(shapes, shapes[1:])]
+        out.append([h % quality.BUCKETS for h in (*found.hashes.tolist(), *shapes, *pairs_)])
+    return out
+
+
+def test_log_ratios_and_top_k_by_hand(spark):
+    rng = random.Random(21)
+    say = lambda: " ".join(rng.choice(["stone", "Sand", "x9", "the", "THE", "a,", "end.", "naïve", "!!", "longer-than-sixteen-bytes"]) for _ in range(rng.randint(0, 40)))
+    rows = [(k, say()) for k in range(200)] + [(200, None), (201, ""), (None, say()), (5, say()), (7, say())]
+    labels = [(k, int(k % 3 > 0), 0) for k in range(0, 150, 2)] + [(None, 1, 0), (999, 1, 0)]
+    found = quality.resampled(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).collect()
+    grams = by_hand([t for _, t in rows])
+    good = {k for k, q, _ in labels if q and k is not None}
+    raw, target = np.zeros(quality.BUCKETS), np.zeros(quality.BUCKETS)
+    for (key, _), of in zip(rows, grams, strict=True):
+        np.add.at(raw, of, 1)
+        if key in good:
+            np.add.at(target, of, 1)
+    raw, target = [c + quality.SMOOTHING * c.mean() for c in (raw, target)]
+    ratio = np.log(target / target.sum()) - np.log(raw / raw.sum())
+    want = Counter((key, round(float(ratio[of].sum()), 6) + 0.0) for (key, _), of in zip(rows, grams, strict=True))
+    assert Counter((r["doc_id"], round(r["log_ratio"], 6) + 0.0) for r in found) == want
+    known = [q for k, q, _ in labels if k is not None]
+    share = sum(known) / len(known)
+    k = math.ceil(min(1, share + 2 * (share * (1 - share) / len(known)) ** 0.5) * len(rows))
+    least = sorted((r["perturbed"] for r in found), reverse=True)[k - 1]
+    assert all(r["kept"] == (r["perturbed"] >= least) for r in found)
+
+
 def test_held_out_quality(spark):
     docs, labels = spark.read.parquet(f"{DATA}/sf0.1/documents.parquet"), spark.read.parquet(f"{DATA}/sf0.1/labels.parquet")
     fit, held = labels.where("doc_id % 2 = 0"), labels.where("doc_id % 2 = 1")
