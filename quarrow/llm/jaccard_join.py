@@ -26,10 +26,10 @@ from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, dropped, id_and_text, written
+from .common import blocks, dropped, id_and_text, quoted, written
 from .liveness import marks, sets_that_share
 from .words import SEGMENT, distinct, mixed, shingles, word_hashes
 
@@ -40,6 +40,8 @@ MARKS = 1 << 23
 MOST_MATCHES = 6
 #: Cost of comparing two sets, for each shingle, in units of one index entry.
 COMPARE = 1 / 16
+#: Words of 64 bits in a set's signature.
+WORDS = 8
 #: Star rounds at most, and remaining pairs for each index entry that end them; so
 #: does a round that leaves more than half of the pairs.
 ROUNDS, PAIRS_LEFT = 6, 4
@@ -60,13 +62,16 @@ class Similarity:
         """Whether sets of these sizes can be similar."""
         return (F.col(a) * self.den >= F.col(b) * self.num) & (F.col(b) * self.den >= F.col(a) * self.num)
 
+    def need(self, a: str, b: str) -> Column:
+        """Shingles that sets of these sizes share if they are similar."""
+        return F.expr(f"(({a} + {b}) * {self.num} + {self.num + self.den - 1}) div {self.num + self.den}")
+
     def slack(self, a: str, b: str, pa: str, pb: str) -> Column:
         """Shingles that sets of these sizes have from a shared one on, at these places, beyond the overlap they need.
 
         Below zero, so many shared shingles have to lie before it.
         """
-        need = F.expr(f"(({a} + {b}) * {self.num} + {self.num + self.den - 1}) div {self.num + self.den}")
-        return (F.least(F.col(a) - F.col(pa), F.col(b) - F.col(pb)) - need).cast("int")
+        return (F.least(F.col(a) - F.col(pa), F.col(b) - F.col(pb)) - self.need(a, b)).cast("int")
 
 
 def _sets(block: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -82,6 +87,14 @@ def _hashes(h: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
     return out
 
 
+def _signatures(h: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Bits at places that a set's shingles say: two signatures differ in no more bits than the sets in shingles."""
+    out = np.zeros((len(first) - 1, WORDS), np.uint64)
+    owner = np.repeat(np.arange(len(first) - 1), np.diff(first))
+    np.bitwise_or.at(out, (owner, (h >> np.uint64(6)).astype(np.int64) % WORDS), np.uint64(1) << (h & np.uint64(63)))
+    return out.view(np.int64)
+
+
 def _candidates(data: DataFrame, like: Similarity) -> DataFrame:
     """``(f1, f2)`` of the sets that share enough shingles with others, over all rows of ``data``."""
 
@@ -95,9 +108,9 @@ def _candidates(data: DataFrame, like: Similarity) -> DataFrame:
 
 
 def _rows(data: DataFrame, width: int, marked: np.ndarray) -> DataFrame:
-    """``(id, size, f1, f2, task, shingles)`` of every row; f1 and f2 stand for the set.
+    """``(id, size, f1, f2, task, shingles, bits)`` of every row; f1 and f2 stand for the set.
 
-    ``shingles`` is there for marked sets, once in a task each.
+    ``shingles`` and their signature are there for marked sets, once in a task each.
     """
     shared = data.sparkSession.sparkContext.broadcast(marked)  # MARKS bits, whatever the input
 
@@ -116,19 +129,23 @@ def _rows(data: DataFrame, width: int, marked: np.ndarray) -> DataFrame:
                 wanted[k] = key not in seen
                 seen.add(key)
             ends = np.concatenate([[0], np.cumsum(np.where(wanted, sizes, 0))]).astype(np.int32)
-            kept = h[np.repeat(wanted, sizes)].view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(kept), mask=pa.array(~wanted))
-            columns = [block.column(0), pa.array(sizes), pa.array(f1, mask=sizes == 0), pa.array(f2, mask=sizes == 0), pa.array(np.full(len(sizes), task, np.int32)), lists]
-            yield pa.record_batch(columns, names=["id", "size", "f1", "f2", "task", "shingles"])
+            kept = h[np.repeat(wanted, sizes)]
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(kept.view(np.int64)), mask=pa.array(~wanted))
+            places = np.concatenate([[0], np.cumsum(np.where(wanted, WORDS, 0))]).astype(np.int32)
+            bits = _signatures(kept, np.concatenate([[0], np.cumsum(sizes[wanted])]))
+            signed = pa.ListArray.from_arrays(pa.array(places), pa.array(bits.ravel()), mask=pa.array(~wanted))
+            columns = [block.column(0), pa.array(sizes), pa.array(f1, mask=sizes == 0), pa.array(f2, mask=sizes == 0), pa.array(np.full(len(sizes), task, np.int32)), lists, signed]
+            yield pa.record_batch(columns, names=["id", "size", "f1", "f2", "task", "shingles", "bits"])
 
-    return data.mapInArrow(run, f"id {data.schema['id'].dataType.simpleString()}, size long, f1 long, f2 long, task int, shingles array<long>")
+    return data.mapInArrow(run, f"id {data.schema['id'].dataType.simpleString()}, size long, f1 long, f2 long, task int, shingles array<long>, bits array<long>")
 
 
 def _index(sets: DataFrame, like: Similarity) -> DataFrame:
-    """``(node, size, matches, place, token)``: prefixes of ``sets (node, size, shingles)``, by exact counts.
+    """``(node, size, matches, common, place, rank, token)``: prefixes of ``sets (node, size, shingles)``, by exact counts.
 
     ``place`` counts from the set's rarest shingle on; those that no other node
-    has come first and need no row.
+    has come first and need no row. ``rank`` counts the rows of the node, and
+    ``common`` is their number.
     """
     spread = sets.select("node", F.col("size").cast("int").alias("size"), F.explode("shingles").alias("token"))
     counts = spread.groupBy("token").agg(F.count("*").cast("int").alias("held")).where("held > 1")
@@ -142,9 +159,12 @@ def _index(sets: DataFrame, like: Similarity) -> DataFrame:
             lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
             at, places, matches = _prefixes(held, token, lengths, size.to_numpy().astype(np.int64), like)
             owner = np.repeat(np.arange(len(lengths)), lengths)[at]
-            yield pa.record_batch([node.take(pa.array(owner)), size.take(pa.array(owner)), pa.array(matches[owner].astype(np.int16)), pa.array(places.astype(np.int32)), pa.array(token[at])], names=["node", "size", "matches", "place", "token"])
+            alone = size.to_numpy() - lengths
+            common = np.bincount(owner, minlength=len(lengths))
+            columns = [node.take(pa.array(owner)), size.take(pa.array(owner)), pa.array(matches[owner].astype(np.int16)), *[pa.array(c.astype(np.int32)) for c in (common[owner], places, places - alone[owner])], pa.array(token[at])]
+            yield pa.record_batch(columns, names=["node", "size", "matches", "common", "place", "rank", "token"])
 
-    return shared.mapInArrow(run, "node long, size int, matches short, place int, token long")
+    return shared.mapInArrow(run, "node long, size int, matches short, common int, place int, rank int, token long")
 
 
 def _prefixes(held: np.ndarray, token: np.ndarray, lengths: np.ndarray, sizes: np.ndarray, like: Similarity) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -231,7 +251,8 @@ def clusters(df: DataFrame, width: int = 3, threshold: Fraction = Fraction(9, 10
     reachable by links, itself included. Rows without words or text have no
     shingles and link with nothing; their component is their own id. Rows with
     equal texts link, whatever their ids; null ids are ignored unless a component
-    has no other.
+    has no other. Repeated rows stay repeated, an empty table gives an empty result;
+    extra columns are dropped.
     """
     like = Similarity(threshold, width)
     data = id_and_text(df, id_col, text_col)
@@ -241,7 +262,7 @@ def clusters(df: DataFrame, width: int = 3, threshold: Fraction = Fraction(9, 10
     classes = written(classes.join(candidates.withColumn("near", F.lit(True)), ["f1", "f2"], "left").withColumn("node", F.monotonically_increasing_id()), "join-classes")
     dropped(candidates)
     nodes = classes.where("near").select("node", "f1", "f2", "task")
-    sets = written(rows.where("shingles is not null").join(nodes, ["f1", "f2", "task"]).select("node", "size", "shingles"), "join-sets")
+    sets = written(rows.where("shingles is not null").join(nodes, ["f1", "f2", "task"]).select("node", "size", "shingles", "bits"), "join-sets")
     found = _components_of(sets, like)
     best = classes.where("near").select("node", "least").join(found, "node").groupBy("component").agg(F.min("least").alias("component_id"))
     best = found.join(best, "component").select("node", "component_id")
@@ -251,39 +272,38 @@ def clusters(df: DataFrame, width: int = 3, threshold: Fraction = Fraction(9, 10
     return every.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
+def _tokens(live: DataFrame, step: int) -> DataFrame:
+    """``(token, all, held, major, hub)`` of shingles whose nodes are in several components.
+
+    ``all`` rows of which ``held`` are of the ``major`` component, and a hub.
+    """
+    # A set most of whose shingles are shared is the middle of its group; later rounds take other components by chance.
+    chance = F.xxhash64("component", F.lit(step)) if step else F.lit(0).cast("long")
+    hub = F.max(F.struct(chance.alias("by"), "common", "node", "size", "matches", "place", "rank"))
+    if not step:  # every node is a component
+        return live.groupBy("token").agg(F.count("*").alias("all"), F.lit(1).cast("long").alias("held"), F.max("component").alias("major"), hub.alias("hub")).where("all > 1")
+    open_ = live.groupBy("token").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least < most").select("token")
+    groups = live.join(open_, "token").groupBy("token", "component").agg(F.count("*").alias("n"), hub.alias("hub"))
+    tokens = groups.groupBy("token").agg(F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("major"), F.max("hub").alias("hub"))
+    return tokens.select("token", "all", F.col("major.n").alias("held"), F.col("major.component").alias("major"), "hub")
+
+
 def _components_of(sets: DataFrame, like: Similarity) -> DataFrame:
-    """``(node, component)`` of nodes with a similar one (others may be missing), from ``sets (node, size, shingles)``."""
-    index = written(_index(sets, like), "join-prefixes")
-    again = index.groupBy("token").agg(F.count("*").alias("held")).where("held > 1").select("token")
-    # Shingles before it that other prefixes have, too: no more than those can be shared.
-    rank = F.row_number().over(Window.partitionBy("node").orderBy("place")) - 1
-    live = index.join(again, "token").withColumn("rank", rank).withColumn("common", F.count("*").over(Window.partitionBy("node")))
-    live = written(live.withColumn("component", F.col("node")), "join-index")
-    dropped(index)
+    """``(node, component)`` of nodes with a similar one (others may be missing), from ``sets (node, size, shingles, bits)``."""
+    live = written(_index(sets, like).withColumn("component", F.col("node")), "join-index")
     labels = written(live.select("node", F.col("node").alias("component")).distinct(), "labels", release=False)
     before = None
     for step in range(ROUNDS + 1):
-        # A set most of whose shingles are shared is the middle of its group; later rounds take other components by chance.
-        chance = F.xxhash64("component", F.lit(step)) if step else F.lit(0).cast("long")
-        groups = live.groupBy("token", "component").agg(F.count("*").alias("n"), F.max(F.struct(chance.alias("by"), "common", "node", "size", "matches", "place", "rank")).alias("hub"))
-        tokens = groups.groupBy("token").agg(F.count("*").alias("parts"), F.sum("n").alias("all"), F.max(F.struct("n", "component")).alias("major"), F.max("hub").alias("hub")).where("parts > 1")
-        tokens = written(tokens.select("token", "all", F.col("major.component").alias("major"), F.col("major.n").alias("held"), "hub"), "join-tokens", release=False)
+        tokens = written(_tokens(live, step), "join-tokens", release=False)
         left = tokens.agg(F.sum((F.col("all") - F.col("held")) * F.col("all")), F.sum("all")).first()
         if left[0] is None:
             break
         last = step == ROUNDS or left[0] <= PAIRS_LEFT * left[1] or (before is not None and 2 * left[0] > before)
         before = left[0]
-        mine = live.select("token", F.col("node").alias("b"), F.col("size").alias("nb"), F.col("matches").alias("mb"), F.col("place").alias("pb"), F.col("rank").alias("rb"), F.col("component").alias("cb"))
-        if last:
-            minor = mine.join(tokens.select("token", "major"), "token").where("cb <> major")
-            minor = minor.select("token", "major", *[F.col(c + "b").alias(c + "a") for c in "nmprc"], F.col("b").alias("a"))
-            pairs = minor.join(mine, "token").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("major")) | (F.col("a") < F.col("b"))))
-            pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *[c + side for c in "nmpr" for side in "ab"])
-        else:
-            hubs = tokens.select("token", F.col("hub.node").alias("a"), F.col("hub.size").alias("na"), F.col("hub.matches").alias("ma"), F.col("hub.place").alias("pa"), F.col("hub.rank").alias("ra"))
-            pairs = mine.join(hubs, "token").where("a <> b")
-        slack = like.slack("na", "nb", "pa", "pb")
-        pairs = pairs.where(like.sizes_fit("na", "nb") & (F.least("ra", "rb") + slack >= 0)).select("a", "b", F.least("ma", "mb").alias("asked"), slack.alias("slack"))
+        active = written(live.join(tokens.select("token", "major", "hub"), "token"), "join-active", release=False)
+        dropped(tokens)
+        dropped(live)
+        pairs = _across(active, sets, like) if last else _with_hubs(active, like)
         pairs = written(_asked(pairs, last), "join-pairs")
         edges = _similar(pairs, sets, like)
         ends = labels.select(F.col("node").alias("a"), F.col("component").alias("ca"))
@@ -293,16 +313,48 @@ def _components_of(sets: DataFrame, like: Similarity) -> DataFrame:
         dropped(pairs)
         dropped(labels)
         labels = moved
+        if not last:
+            live = written(active.drop("component", "major", "hub").join(labels, "node"), "join-index")
+        dropped(active)
         if last:
             break
-        rest = written(live.drop("component").join(tokens.select("token"), "token").join(labels, "node"), "join-index")
-        dropped(tokens)
-        dropped(live)
-        live = rest
-    dropped(live)
     return labels
 
 
+def _fits(like: Similarity) -> tuple[Column, Column]:
+    """Whether sizes and places of a pair's shared shingle let it be similar, and the slack they leave."""
+    slack = like.slack("na", "nb", "pa", "pb")
+    return like.sizes_fit("na", "nb") & (F.least("ra", "rb") + slack >= 0), slack
+
+
+def _side(side: str) -> list[Column]:
+    """A node's columns in a pair."""
+    return [F.col(c).alias(n + side) for c, n in (("node", ""), ("size", "n"), ("matches", "m"), ("place", "p"), ("rank", "r"), ("component", "c"))]
+
+
+def _with_hubs(active: DataFrame, like: Similarity) -> DataFrame:
+    """``(a, b, asked, slack)`` of every node with the hubs of its shingles."""
+    fits, slack = _fits(like)
+    hub = [F.col(f"hub.{c}").alias(n + "a") for c, n in (("node", ""), ("size", "n"), ("matches", "m"), ("place", "p"), ("rank", "r"))]
+    pairs = active.select("token", *_side("b"), *hub).where("a <> b").where(fits)
+    return pairs.select("a", "b", F.least("ma", "mb").alias("asked"), slack.alias("slack"))
+
+
+def _across(active: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
+    """``(a, b, asked, slack)`` of all pairs between components that share a shingle, by sizes, places and signatures.
+
+    One node of each pair is outside of the shingle's major component.
+    """
+    signed = active.drop("hub").join(sets.select("node", "bits"), "node")
+    a = signed.where("component <> major").select("token", "major", *_side("a"), F.col("bits").alias("sa"))
+    b = signed.select("token", *_side("b"), F.col("bits").alias("sb"))
+    fits, slack = _fits(like)
+    differ = sum((F.bit_count(F.get("sa", k).bitwiseXOR(F.get("sb", k))) for k in range(WORDS)), F.lit(0))
+    near = differ <= F.col("na") + F.col("nb") - 2 * like.need("na", "nb")
+    pairs = a.join(b, "token").where((F.col("ca") != F.col("cb")) & ((F.col("cb") == F.col("major")) | (F.col("a") < F.col("b"))) & fits & near)
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.least("ma", "mb").alias("asked"), slack.alias("slack"))
+
+
 def one_of_each(df: DataFrame, width: int = 5, threshold: Fraction = Fraction(4, 5), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``df``, all columns, of which one in each group of near copies stays.
 
@@ -310,9 +362,30 @@ def one_of_each(df: DataFrame, width: int = 5, threshold: Fraction = Fraction(4,
     words are in no group and stay.
     """
     names = df.columns
-    base = written(df.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("document")), "join-documents")
+    base = written(df.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(quoted(c)) for c in names]).alias("document")), "join-documents")
     found = clusters(base.select("row", F.col(f"document.`{text_col}`").alias("text")), width, threshold, "row", "text")
     numbered = base.select("row", F.col(f"document.`{id_col}`").alias("id")).join(found, "row")
     first = numbered.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "row")).alias("first"))
     kept = written(first.select(F.col("first.row").alias("row")), "join-kept")
     return base.join(kept, "row", "left_semi").select("document.*")
+
+
+#: Components by comparing every pair that shares a shingle, for an engine without this module and small tables.
+ORACLE_SQL = r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM words
+), tokens AS (
+  SELECT doc_id, unnest(s) AS token FROM sets
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM tokens a JOIN tokens b ON a.token = b.token AND a.doc_id < b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b WHERE 100 * n >= 90 * (len(x.s) + len(y.s) - n)
+), both_ways AS (
+  SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach AS (
+  WITH RECURSIVE r(a, b) AS (SELECT doc_id, doc_id FROM documents UNION SELECT r.a, e.b FROM r JOIN both_ways e ON r.b = e.a) SELECT a, min(b) AS least FROM r GROUP BY a
+)
+SELECT s.doc_id, CAST(len(s.s) AS BIGINT) AS n_shingles, least AS component_id FROM sets s JOIN reach ON reach.a = s.doc_id
+"""

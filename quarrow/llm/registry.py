@@ -76,4 +76,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_source_mixing": mixing.ORACLE_SQL}
+    return {"op3_source_mixing": mixing.ORACLE_SQL, "op5_suffix_array_dedup": suffix_dedup.ORACLE_SQL, "op10_ngram_jaccard_join": jaccard_join.ORACLE_SQL}

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import blocks, dropped, written
-from .words import _power, mixed
+from .words import SEGMENT, _power, mixed
 
 #: Bytes of the first digit, and windows in a piece of the second pass.
 DIGIT, PIECE = 64, 17
@@ -45,9 +45,13 @@ _FIELDS = ("core", "extent", "row", "low", "high", "place", "weight")
 
 
 class Bytes:
-    """The texts of a block as one run of bytes, with hashes of any span of it."""
+    """The texts of a block as one run of bytes, with hashes of any span of it.
 
-    def __init__(self, rows: pa.Array, texts: pa.Array):
+    ``shift``: where they begin in their text, of a part of a long one.
+    """
+
+    def __init__(self, rows: pa.Array, texts: pa.Array, shift: int = 0):
+        self.shift = shift
         texts = texts.cast(pa.large_binary())
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
         held = texts.buffers()[2]
@@ -66,6 +70,23 @@ class Bytes:
         return mixed((sums[end] - sums[start]) * _power(_INVERSES[which], n + 1)[start])
 
 
+def _whole(blocks_of: Iterator[pa.RecordBatch], length: int) -> Iterator[tuple[pa.RecordBatch, Bytes, int, int]]:
+    """``(block, text, first, last)``: blocks, or parts of a long text in which those windows start.
+
+    A part goes on for as long as the windows that start in it, and their digits, do.
+    """
+    for block in blocks_of:
+        size = len(block.column(1)[0].as_buffer()) if block.num_rows == 1 else 0
+        if size <= 2 * SEGMENT:
+            yield block, Bytes(block.column(0), block.column(1)), 0, size
+            continue
+        held = np.frombuffer(block.column(1)[0].as_buffer(), np.uint8)
+        for first in range(0, max(1, size - length + 1), SEGMENT):
+            low, high = max(0, first - length), min(size, first + SEGMENT + 2 * length)
+            part = pa.array([held[low:high].tobytes()], pa.large_binary())
+            yield block, Bytes(block.column(0), part, low), first, min(size, first + SEGMENT)
+
+
 def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     """Where the smallest of each ``width`` neighbours is, the leftmost of equals."""
     at = np.arange(len(values), dtype=np.int32)
@@ -78,8 +99,11 @@ def _smallest(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def _parts(text: Bytes, length: int) -> dict[str, np.ndarray]:
-    """Pass 1: runs of windows with one smallest digit; places count from the block's start."""
+def _parts(text: Bytes, length: int, first: int, last: int) -> dict[str, np.ndarray]:
+    """Pass 1: runs of windows with one smallest digit; places count from the block's start.
+
+    Of a part of a long text, those windows that start from ``first`` to before ``last``.
+    """
     n = len(text.data)
     if n < length:
         return {c: np.zeros(0, np.int64) for c in _FIELDS}
@@ -87,6 +111,8 @@ def _parts(text: Bytes, length: int) -> dict[str, np.ndarray]:
     place = _smallest(digits, length - DIGIT + 1)
     document = np.repeat(np.arange(len(text.rows)), np.diff(text.offsets))[: len(place)]
     start = np.flatnonzero(np.arange(len(place)) + length <= text.offsets[document + 1])
+    if len(text.rows) == 1:
+        start = start[(start + text.shift >= first) & (start + text.shift < last)]
     document, at = document[start], place[start].astype(np.int64)
     new = np.ones(len(start), dtype=bool)
     new[1:] = (at[1:] != at[:-1]) | (document[1:] != document[:-1])
@@ -99,7 +125,7 @@ def _parts(text: Bytes, length: int) -> dict[str, np.ndarray]:
 def _rows(text: Bytes, document: np.ndarray, core: np.ndarray, place: np.ndarray, low: np.ndarray, high: np.ndarray, length: int, weight: np.ndarray | None = None) -> dict[str, np.ndarray]:
     """Parts as rows; offsets count from their documents' starts."""
     extent = mixed(text.span(1, low, high + length) ^ ((place - low).astype(np.uint64) << np.uint64(32)) ^ (high - low).astype(np.uint64))
-    base = text.offsets[document]
+    base = text.offsets[document] - text.shift
     weight = np.ones(len(low), np.int64) if weight is None else weight
     return dict(zip(_FIELDS, (core.view(np.int64), extent.view(np.int64), text.rows[document], low - base, high - base, place - base, weight), strict=True))
 
@@ -143,18 +169,20 @@ def _settled(parts: DataFrame, judged: DataFrame) -> DataFrame:
     return known.select("row", "low", "high", "place", F.col("n").alias("weight"), (F.col("n") > 1).alias("repeated"), ((F.col("extents") > 1) & ((F.col("n") == 1) | stands)).alias("on"))
 
 
-def _refined(base: DataFrame, settled: DataFrame, cut: Callable) -> DataFrame:
+def _refined(base: DataFrame, settled: DataFrame, cut: Callable, length: int) -> DataFrame:
     """Parts that go on, cut into smaller ones where their texts are."""
     lists = settled.where("on").groupBy("row").agg(F.collect_list(F.struct("low", "high", "place", "weight")).alias("parts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block in blocks(batches):
-            text = Bytes(block.column(0), block.column(1))
+        for block, text, first, last in _whole(blocks(batches, limit=SEGMENT), length):
             lists = block.column(2)
             document = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy(zero_copy_only=False))
             flat = lists.flatten()
             low, high, place, weight = [flat.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(4)]
-            base = text.offsets[document]
+            if len(lists) == 1:  # a part's windows start in it, or end a run that does
+                held = (low >= first) & (low < last)
+                document, low, high, place, weight = document[held], low[held], high[held], place[held], weight[held]
+            base = text.offsets[document] - text.shift
             yield _batch(cut(text, document, low + base, high + base, place + base, weight))
 
     return base.select("row", "text").join(lists, "row").mapInArrow(run, PARTS)
@@ -195,8 +223,8 @@ def repeats(base: DataFrame, length: int) -> DataFrame:
 
     def first(add: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for block in blocks(batches):
-                found = _parts(Bytes(block.column(0), block.column(1)), length)
+            for _, text, low, high in _whole(blocks(batches, limit=SEGMENT), length):
+                found = _parts(text, length, low, high)
                 yield _batch(_added(found) if add else found)
 
         return base.select("row", "text").mapInArrow(run, PARTS)
@@ -207,7 +235,7 @@ def repeats(base: DataFrame, length: int) -> DataFrame:
     dropped(judged)
     for cut in (_pieces(length), _windows(length)):
         found.append(settled.where("repeated").select("row", "low", "high"))
-        parts = written(_refined(base, settled, cut), "suffix-finer")
+        parts = written(_refined(base, settled, cut, length), "suffix-finer")
         judged = written(_judged(parts), "suffix-groups")
         settled = written(_settled(parts, judged), "suffix-parts")
         tables += [parts, judged]
@@ -217,6 +245,14 @@ def repeats(base: DataFrame, length: int) -> DataFrame:
     return found[0].union(found[1]).union(found[2])
 
 
+def _merged(low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spans that overlap or touch as one, in order."""
+    order = np.argsort(low, kind="stable")
+    low, reach = low[order], np.maximum.accumulate(high[order])
+    new = np.append(True, low[1:] > reach[:-1])
+    return low[new], reach[np.append(np.flatnonzero(new)[1:] - 1, len(low) - 1)]
+
+
 def deduplicated(df: DataFrame, length: int = 200, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, n_bytes, n_removed, n_spans, kept)`` of every row.
 
@@ -224,8 +260,9 @@ def deduplicated(df: DataFrame, length: int = 200, id_col: str = "doc_id", text_
     this or another row, covers it; overlapping occurrences count, and all is
     judged on the input. ``kept`` holds the other bytes; cuts can fall inside
     characters. Null and empty texts have nothing to remove. Rows that repeat a
-    text of ``length`` bytes or more lose all of it. ``length`` must be greater
-    than ``DIGIT``.
+    text of ``length`` bytes or more lose all of it; an empty table gives an empty
+    result. Very long texts are worked on a segment at a time. ``length`` must be
+    greater than ``DIGIT``.
     """
     if length <= DIGIT:
         raise ValueError(f"length must be greater than {DIGIT}")
@@ -241,14 +278,11 @@ def deduplicated(df: DataFrame, length: int = 200, id_col: str = "doc_id", text_
                 if not runs.is_valid:
                     removed.append(0), spans.append(0), kept.append(data)
                     continue
-                low, high = [runs.values.field(k).to_numpy(zero_copy_only=False) for k in (0, 1)]
-                steps = np.zeros(len(data) + 1, dtype=np.int64)
-                np.add.at(steps, low, 1)
-                np.add.at(steps, high + length, -1)
-                gone = np.cumsum(steps[:-1]) > 0
-                removed.append(int(gone.sum()))
-                spans.append(int((gone[1:] & ~gone[:-1]).sum() + gone[0]))
-                kept.append(np.frombuffer(data, np.uint8)[~gone].tobytes())
+                low, high = [runs.values.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1)]
+                low, high = _merged(low, high + length)
+                removed.append(int((high - low).sum()))
+                spans.append(len(low))
+                kept.append(b"".join([data[a:b] for a, b in zip([0, *high.tolist()], [*low.tolist(), len(data)], strict=True)]))
             sizes = pc.binary_length(block.column(1)).cast(pa.int64())
             yield pa.record_batch([block.column(0), sizes, pa.array(removed, pa.int64()), pa.array(spans, pa.int64()), pa.array(kept, pa.binary())], names=[id_col, "n_bytes", "n_removed", "n_spans", "kept"])
 
@@ -259,3 +293,27 @@ def deduplicated(df: DataFrame, length: int = 200, id_col: str = "doc_id", text_
 def removed_repeats(df: DataFrame) -> DataFrame:
     """What is removed of every document, and a digest of what is kept."""
     return deduplicated(df).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The same by hashing every string of 200 bytes, for an engine without this module and small tables.
+ORACLE_SQL = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS k, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+  SELECT k, p, md5(substr(h, 2 * p + 1, 400)) AS m FROM (SELECT k, h, unnest(range(0, length(h) // 2 - 199)) AS p FROM texts)
+), repeated AS (
+  SELECT k, p FROM windows WHERE m IN (SELECT m FROM windows GROUP BY m HAVING count(*) > 1)
+), runs AS (
+  SELECT k, min(p) AS low, max(p) + 200 AS high FROM (SELECT k, p, sum(opens) OVER (PARTITION BY k ORDER BY p) AS run FROM (SELECT k, p, CASE WHEN p - lag(p) OVER (PARTITION BY k ORDER BY p) <= 200 THEN 0 ELSE 1 END AS opens FROM repeated)) GROUP BY k, run
+), gaps AS (
+  SELECT k, lag(high, 1, 0) OVER (PARTITION BY k ORDER BY low) AS a, low AS b FROM runs
+  UNION ALL SELECT r.k, max(r.high), max(length(h) // 2) FROM runs r JOIN texts USING (k) GROUP BY r.k
+), kept AS (
+  SELECT g.k, string_agg(substr(h, 2 * a + 1, 2 * (b - a)), '' ORDER BY a) AS h FROM gaps g JOIN texts USING (k) GROUP BY g.k
+), spans AS (
+  SELECT k, count(*) AS n_spans FROM runs GROUP BY k
+)
+SELECT t.doc_id, CAST(length(t.h) // 2 AS BIGINT) AS n_bytes, CAST((length(t.h) - length(coalesce(kept.h, t.h))) // 2 AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans, sha256(unhex(coalesce(kept.h, t.h))) AS kept_sha256
+FROM texts t LEFT JOIN kept USING (k) LEFT JOIN spans USING (k)
+"""

@@ -10,6 +10,7 @@ import pytest
 
 from quarrow.llm import jaccard_join, suffix_dedup
 
+from ..conftest import DATA
 from .conftest import pairs
 
 
@@ -132,6 +133,27 @@ def test_repeated_strings_go(which, request):
     assert Counter(tuple(r) for r in suffix_dedup.removed_repeats(df).collect()) == without_repeats(pairs(df), 200)
 
 
+def test_long_texts_in_segments(passages, spark):
+    rng = random.Random(31)
+    rows = [r for r in pairs(passages) if r[0] < 40 or r[0] >= 500]
+    filler = "".join(rng.choices("abcdefgh ", k=700_000))
+    long = filler[:262_100] + rows[3][1] + rows[7][1] + filler[262_100:600_000] + filler[1000:1500] + filler[600_000:]
+    rows += [(900, long), (901, filler[524_000:524_700] + "#" + filler[261_900:262_300])]
+    assert len(long) > 2 * suffix_dedup.SEGMENT
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert Counter(tuple(r) for r in suffix_dedup.removed_repeats(df).collect()) == without_repeats(rows, 200)
+
+
+@pytest.mark.parametrize("operator", [suffix_dedup, jaccard_join])
+def test_sql_twins(operator, docs):
+    import duckdb
+
+    connection = duckdb.connect()
+    connection.sql(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/sf0.001/documents.parquet'")
+    found = suffix_dedup.removed_repeats(docs) if operator is suffix_dedup else jaccard_join.clusters(docs)
+    assert Counter(tuple(r) for r in found.collect()) == Counter(connection.sql(operator.ORACLE_SQL).fetchall())
+
+
 def test_other_lengths(passages, spark):
     df = passages.limit(60)
     rows = pairs(df)
