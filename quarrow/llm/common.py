@@ -13,7 +13,6 @@ Conventions that every operator of this subpackage follows:
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
@@ -33,15 +32,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder for cut lineage: the one named in ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (tests, single machine) a folder is made
-    here and set, so that later calls agree on it.
+    Where that setting is missing, the warehouse, which executors share as well.
     """
     context = spark.sparkContext
     folder = context.getConf().get("spark.checkpoint.dir") or context.getCheckpointDir()
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="quarrow-checkpoint-")
-        context.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir')}/checkpoints").rstrip("/")
 
 
 def written(df: DataFrame, name: str, release: bool = True) -> DataFrame:
@@ -98,6 +93,11 @@ def id_and_text(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def quoted(name: str) -> str:
+    """A column's name as an expression: dots and signs in it are its own."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def map_blocks(df: DataFrame, work: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str, column: int = 1) -> DataFrame:
     """Run ``work`` on every block of ``df`` in Python workers."""
 

@@ -62,7 +62,8 @@ def with_next(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     After the last document comes the first. Equal ids follow one another by
     text; null ids come last. Texts move once, to ranges of ids; the first
     document of a range also goes, as a look-ahead, to the range before it in
-    that order. No range holds more than its share, whatever the ids are.
+    that order. Ranges hold about as many ids each; documents of one id, and those of
+    null ids, share a range.
     """
     ids = F.col(id_col).cast("long")
     bounds = _bounds(df, ids)
@@ -195,7 +196,8 @@ def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     equal texts have equal ones, an empty text has the empty one. Likeness is the
     share of common digests among all, from the numbers that peeling recovers; two
     texts without paragraphs are alike (1.0). Null texts are empty ones. Repeated
-    rows stay repeated; one document alone is its own next.
+    rows stay repeated; one document alone is its own next; an empty table gives an
+    empty result. A very long text is one row of digests, eight bytes a paragraph.
     """
     narrow = versions(df, id_col, text_col)
     sizes = [F.lit(BASE_CELLS), F.lit(BASE_CELLS)]

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import dropped, written
+from .common import dropped, quoted, written
 
 # Weights by rank of the source, repeating.
 WEIGHTS = (5, 2, 1)
@@ -101,13 +101,13 @@ def _narrow(df: DataFrame, id_col: str, source_col: str, text_col: str) -> DataF
 
 def thresholds(narrow: DataFrame) -> DataFrame:
     """``(key, source_size, target, rounds, threshold)``: one written row per source."""
-    plan = written(targets(narrow.groupBy("key").agg(F.sum("size").alias("source_size"))), "mix-targets")
+    plan = written(targets(narrow.groupBy("key").agg(F.sum("size").alias("source_size"))), "mix-targets", release=False)
     state = plan.select("key", F.lit(0).cast("long").alias("base"), "budget")
     levels, tables = HASH_DIGITS // LEVEL_DIGITS, []
     for level in range(levels):
-        state = written(_refined(narrow, state, level, level == levels - 1), "mix-level")
+        state = written(_refined(narrow, state, level, level == levels - 1), "mix-level", release=False)
         tables.append(state)
-    result = written(plan.join(state.withColumnRenamed("base", "threshold"), "key").drop("budget"), "mix-plan")
+    result = written(plan.join(state.withColumnRenamed("base", "threshold"), "key").drop("budget"), "mix-plan", release=False)
     for table in [plan, *tables]:
         dropped(table)
     return result
@@ -127,17 +127,22 @@ def mix(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_
     taken like others. Rows with one id share their fate. An empty table gives
     an empty result. Reruns agree: the hash is of the id alone.
     """
-    narrow = written(_narrow(df, id_col, source_col, text_col), "mix-sizes")
+    narrow = written(_narrow(df, id_col, source_col, text_col), "mix-sizes", release=False)
     return narrow.join(thresholds(narrow), "key").select(F.col("id").alias(id_col), "size", "source_size", "target", _copies())
 
 
 def mixed_rows(df: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text") -> DataFrame:
-    """The rows that the mix takes, each as often as it does, with all their columns."""
-    narrow = written(_narrow(df, id_col, source_col, text_col), "mix-sizes")
+    """The rows that the mix takes, each as often as it does, with all their columns.
+
+    As :func:`mix`: null sources are one source, null and empty texts have no words
+    and are taken like others, equal ids share their fate, an empty table stays
+    empty. Other columns' names do not matter.
+    """
+    narrow = written(_narrow(df, id_col, source_col, text_col), "mix-sizes", release=False)
     plan = thresholds(narrow)
     dropped(narrow)
-    kept = [F.col(f"row.`{c}`").alias(c) for c in df.columns]
-    rows = df.select(_key(F.col(source_col)).alias("key"), _place(F.col(id_col)).alias("place"), F.struct(*df.columns).alias("row"))
+    kept = [F.col(f"row.{quoted(c)}").alias(c) for c in df.columns]
+    rows = df.select(_key(F.col(source_col)).alias("key"), _place(F.col(id_col)).alias("place"), F.struct(*[F.col(quoted(c)) for c in df.columns]).alias("row"))
     taken = rows.join(plan, "key").select("row", _copies()).where("copies > 0")
     return taken.select("row", F.explode(F.sequence(F.lit(1).cast("long"), "copies"))).select(*kept)
 

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, id_and_text
+from .common import blocks, id_and_text, quoted
 
 KINDS = ("email", "ip", "card", "phone")
 
@@ -217,7 +217,8 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Counts and ``base_sha256`` are of base spans; ``spans`` lists all of them as
     ``kind:start:end`` by kind, then start, in code points with exclusive ends;
     ``redacted`` is the text with all spans replaced. Null or empty text: no
-    spans, empty strings. Repeated rows stay repeated; extra columns are dropped.
+    spans, empty strings. Very long texts are read whole, in linear scans. Repeated
+    rows stay repeated, an empty table gives an empty result; extra columns are dropped.
     """
     order = {kind: k for k, kind in enumerate(KINDS)}
 
@@ -245,14 +246,21 @@ def personal_data(df: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def without_personal_data(df: DataFrame, text_col: str = "text") -> DataFrame:
-    """``df`` with all spans in ``text_col`` replaced by their kinds; nulls stay null."""
+    """``df`` with all spans in ``text_col`` replaced by their kinds.
+
+    Null texts stay null, empty ones empty. Other columns, whatever their names,
+    and repeated rows stay; an empty table gives an empty one.
+    """
 
     @F.arrow_udf("string")
     def clean(texts: pa.Array) -> pa.Array:
-        out = []
-        for text in texts.to_pylist():
-            spans = [s for part in find(text) for s in part] if text else []
-            out.append(redacted(text, spans) if spans else text)
-        return pa.array(out, pa.string())
-
-    return df.withColumn(text_col, clean(F.col(text_col)))
+        parts = []
+        for block in blocks([pa.record_batch([texts], names=["text"])], column=0):
+            out = []
+            for text in block.column(0).to_pylist():
+                spans = [s for part in find(text) for s in part] if text else []
+                out.append(redacted(text, spans) if spans else text)
+            parts.append(pa.array(out, pa.string()))
+        return pa.concat_arrays(parts) if parts else pa.array([], pa.string())
+
+    return df.withColumn(text_col, clean(F.col(quoted(text_col))))
