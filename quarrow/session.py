@@ -7,7 +7,7 @@ import re
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from .dialect import DialectError, Rewritten, rewrite
+from .dialect import DialectError, Rewritten, divided, parameters, rewrite
 from .errors import QueryError, SchemaError, SessionError
 from .streaming.reader import BATCH_ROWS, BatchReader, Extractor
 from .types import arrow_schema
@@ -24,6 +24,46 @@ DESCRIBE, EXECUTE = "metadata_discovery", "select_execution"
 _NAMES = {"INT": "integer", "BIGINT": "bigint", "SMALLINT": "smallint", "DOUBLE": "double precision", "FLOAT": "real", "BOOLEAN": "boolean", "DATE": "date", "DECIMAL": "numeric", "TIMESTAMP": "timestamp with time zone", "TIMESTAMP_NTZ": "timestamp", "TIME": "time"}
 
 
+_WHOLE = {"tinyint": 1, "smallint": 2, "int": 3, "bigint": 4}
+
+
+def _integer_divisions(df: DataFrame, text: str, values: dict[str, object]) -> list[tuple[int, int, str]]:
+    """Where ``text`` divides integers by integers, and the type of each quotient, as analysis found them.
+
+    Divisions of what such a division gives come up once that one is a whole one.
+    """
+    places = _places(df.sparkSession, text, values)
+    of = df.sparkSession._jvm.java.lang.Class.forName
+    expression, subquery = (of(f"org.apache.spark.sql.catalyst.expressions.{c}") for c in ("Expression", "PlanExpression"))
+    found, nodes = set(), [df._jdf.queryExecution().analyzed()]
+    while nodes:
+        node = nodes.pop()
+        inner = [node.children()]
+        if not expression.isInstance(node):
+            inner.append(node.expressions())
+        elif subquery.isInstance(node):
+            nodes.append(node.plan())
+        nodes += [part.apply(k) for part in inner for k in range(part.size())]
+        if node.getClass().getSimpleName() != "Divide" or not node.origin().stopIndex().isDefined():
+            continue
+        sides = [side.child().dataType().simpleString() for side in (node.left(), node.right()) if side.getClass().getSimpleName() == "Cast"]
+        span = node.origin().startIndex().get(), node.origin().stopIndex().get()
+        if len(sides) == 2 and set(sides) <= set(_WHOLE):
+            found.add((*(places[k] for k in span), max(sides, key=_WHOLE.get)))
+    return sorted(found)
+
+
+def _places(spark: SparkSession, text: str, values: dict[str, object]) -> list[int]:
+    """Where each character that Spark parses is in ``text``: it puts literals in place of parameters."""
+    places, at = [], 0
+    for m in parameters(text):
+        held = spark.sql("SELECT :p", args={"p": values[m[1]]})._jdf.queryExecution().analyzed().expressions().apply(0).child().origin()
+        size = held.stopIndex().get() - held.startIndex().get() + 1
+        places += [*range(at, m.start()), *[m.start()] * (size - 1), m.end() - 1]
+        at = m.end()
+    return [*places, *range(at, len(text))]
+
+
 def explained(failure: Exception) -> str:
     """A Spark error as a short message."""
     text = str(failure)
@@ -112,7 +152,11 @@ class Engine:
         if self._is_command(plan):
             raise QueryError(sql, DESCRIBE, "query returned no columns")
         try:
-            df = self.spark.sql(rewritten.sql, args={f"p{k}": v for k, v in enumerate(args, 1)})
+            text, values = rewritten.sql, {f"p{k}": v for k, v in enumerate(args, 1)}
+            df = self.spark.sql(text, args=values)
+            while "/" in text and (spans := _integer_divisions(df, text, values)):
+                text = divided(text, spans)
+                df = self.spark.sql(text, args=values)
         except Exception as failure:
             raise QueryError(sql, DESCRIBE, explained(failure)) from failure
         if not df.columns:

@@ -78,6 +78,14 @@ def test_power(engine):
             engine.query(bad)
 
 
+def test_integers_divide_to_integers(engine):
+    sql = """SELECT 7 / 2 AS a, -7 / 2 AS b, 7 / 2.0 AS c, 7 / 2::float8 AS d, i / 3 / 2 AS e, 100 / (i / 2) * 3 AS f, $2::text || '/' || ($1::int4 / 4)::text AS g, 'a/b' || (9 / 2)::text AS h,
+             (SELECT max(k) / 2 FROM generate_series(1, 9) k) AS j, sum(i) / 2 AS s FROM generate_series(20, 20) i GROUP BY i / 3 / 2, i HAVING sum(i) / 7 = 2 ORDER BY i / 3"""
+    table = engine.query(sql, 11, "it's / so").read_all()
+    assert list(table.to_pylist()[0].values()) == [3, -3, "3.500000", 3.5, 3, 30, "it's / so/2", "a/b4", 4, 10]
+    assert [str(table.schema.field(c).type) for c in "ae"] == ["int32", "int32"]
+
+
 def test_names(engine):
     schema = engine.schema("SELECT 1, $1::int8, $2::int8, count(*), 1 AS one FROM (VALUES (1)) AS t(a)")
     assert schema.names == ["?column?", "int8", "int8", "count", "one"]
