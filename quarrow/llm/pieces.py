@@ -14,11 +14,13 @@ occurs. Buckets grow in number with the corpus, not in size; a shard is bounded
 by its text and by its distinct pre-tokens. All that is shuffled is packed.
 
 Shards are named by partition and order, so the rows of a partition have to come
-in the same order when they are read again, as they do from files.
+in the same order when they are read again, as they do from files. Where they do
+not, digests of the numbering tell, and the job fails.
 """
 
 from __future__ import annotations
 
+import hashlib
 import itertools
 import zlib
 from collections import defaultdict
@@ -29,6 +31,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import blocks
 
@@ -147,12 +150,16 @@ def by_pieces(data: DataFrame, cutter: Callable, worker: Callable, fold: Callabl
                 held = [k for k in range(buckets) if places[k]]
                 sizes = [zipped(np.array([len(p) for p in lists[k]])) for k in held]
                 columns = [[squeezed(b"".join(lists[k])) for k in held], sizes, [zipped(np.array(places[k])) for k in held]]
+                held, columns = [*held, shard % buckets], [[*c, d] for c, d in zip(columns, (None, None, _digest(numbers)), strict=True)]
                 yield pa.record_batch([pa.array(held, pa.int32()), pa.array([shard] * len(held), pa.int64()), *[pa.array(c, pa.binary()) for c in columns]], names=["bucket", "shard", "pieces", "sizes", "numbers"])
 
     def work(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         do, order, asked = worker(), {}, []
         for batch in batches:
             for shard, pieces, sizes, numbers in zip(*[batch.column(c).to_pylist() for c in ("shard", "pieces", "sizes", "numbers")], strict=True):
+                if pieces is None:
+                    yield pa.record_batch([pa.array([shard], pa.int64()), *[pa.array([c], pa.binary()) for c in (None, None, numbers)]], names=["shard", "about", "sizes", "numbers"])
+                    continue
                 pieces, ends = stretched(pieces), np.cumsum(unzipped(sizes), dtype=np.int64).tolist()
                 number = order.setdefault
                 asked.append((shard, np.array([number(pieces[a:b], len(order)) for a, b in zip([0, *ends[:-1]], ends, strict=True)], np.int64), numbers))
@@ -167,7 +174,10 @@ def by_pieces(data: DataFrame, cutter: Callable, worker: Callable, fold: Callabl
             yield pa.record_batch([pa.array([shard], pa.int64()), *[pa.array([c], pa.binary()) for c in columns]], names=["shard", "about", "sizes", "numbers"])
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for shard, block, counts, extra, found, _ in shards(batches):
+        for shard, block, counts, extra, found, numbers in shards(batches):
+            if numbers:
+                columns = [pa.array([shard], pa.int64()), *[pa.array([c], pa.binary()) for c in (None, None, _digest(numbers))]]
+                yield pa.record_batch([*columns, pa.nulls(1, held_type)], names=["shard", "about", "sizes", "numbers", "held"])
             if block is not None:
                 held = pa.StructArray.from_arrays([block.column(names.index(c)) for c in kept], names=kept)
                 held = pa.ListArray.from_arrays(pa.array([0, len(held)], pa.int32()), held)
@@ -175,19 +185,24 @@ def by_pieces(data: DataFrame, cutter: Callable, worker: Callable, fold: Callabl
                 yield pa.record_batch([pa.array([shard], pa.int64()), *[pa.array([c], pa.binary()) for c in columns], held], names=["shard", "about", "sizes", "numbers", "held"])
 
     def finish(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        answers, documents = [], []
+        answers, documents, digests = [], [], []
         for batch in batches:
             for k in range(batch.num_rows):
                 about, sizes, numbers = [batch.column(c)[k].as_py() for c in ("about", "sizes", "numbers")]
-                if batch.column("held")[k].is_valid:
+                if about is None:
+                    digests.append(numbers)
+                elif batch.column("held")[k].is_valid:
                     documents.append((batch.column("held")[k].values, about, sizes, numbers))
                 else:
                     answers.append((numbers, sizes, about))
+        if len(digests) not in (0, 2) or len(set(digests)) > 1:
+            raise RuntimeError("the rows of a partition came in another order; write them to a table first")
         found = Answers(answers)
         answers.clear()
         for held, about, sizes, numbers in documents:
             yield fold({c: held.field(c) for c in kept}, unzipped(about), unzipped(sizes), unzipped(numbers), found)
 
+    held_type = pa.list_(pa.struct([pa.field(c, to_arrow_type(data.schema[c].dataType)) for c in kept]))
     packed = "about binary, sizes binary, numbers binary"
     held = ", ".join(f"`{c}`: {data.schema[c].dataType.simpleString()}" for c in kept)
     asked = data.mapInArrow(ask, "bucket int, shard long, pieces binary, sizes binary, numbers binary")
@@ -197,6 +212,11 @@ def by_pieces(data: DataFrame, cutter: Callable, worker: Callable, fold: Callabl
     return both.groupBy("shard").applyInArrow(finish, schema)
 
 
+def _digest(numbers: dict[str, int]) -> bytes:
+    """Tells a shard's numbering from another one."""
+    return hashlib.md5("\0".join(numbers).encode()).digest()
+
+
 def _portions(pieces: list[bytes]) -> Iterator[list[bytes]]:
     """Runs of pre-tokens, bounded in number and (but for one of its own) in size."""
     start = held = 0
