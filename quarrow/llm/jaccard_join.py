@@ -226,11 +226,19 @@ def _relabelled(labels: DataFrame, roots: DataFrame) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, like: Similarity) -> DataFrame:
-    """Those pairs ``(a, b)`` whose whole sets are similar enough."""
-    a, b = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
+    """Those pairs ``(a, b)`` whose whole sets are similar enough, written.
+
+    Only the sets of nodes in pairs move; where those are few, no other is even shuffled.
+    """
+    nodes = written(pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct(), "join-needed", release=False)
+    chosen = written(sets.select("node", "shingles").join(nodes, "node"), "join-chosen", release=False)
+    a, b = chosen.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), chosen.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
     both = F.size(F.array_intersect("sa", "sb"))
     union = F.size("sa") + F.size("sb") - both
-    return pairs.join(b, "b").join(a, "a").where(both * like.den >= union * like.num).select("a", "b")
+    found = written(pairs.join(b, "b").join(a, "a").where(both * like.den >= union * like.num).select("a", "b"), "join-edges")
+    dropped(nodes)
+    dropped(chosen)
+    return found
 
 
 def _asked(pairs: DataFrame, every: bool) -> DataFrame:
@@ -311,6 +319,7 @@ def _components_of(sets: DataFrame, like: Similarity) -> DataFrame:
         joined = edges.join(ends, "a").join(others, "b").where("ca <> cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
         moved = _relabelled(labels, components(joined))
         dropped(pairs)
+        dropped(edges)
         dropped(labels)
         labels = moved
         if not last:
@@ -363,11 +372,12 @@ def one_of_each(df: DataFrame, width: int = 5, threshold: Fraction = Fraction(4,
     """
     names = df.columns
     base = written(df.select(F.monotonically_increasing_id().alias("row"), F.struct(*[F.col(quoted(c)) for c in names]).alias("document")), "join-documents")
-    found = clusters(base.select("row", F.col(f"document.`{text_col}`").alias("text")), width, threshold, "row", "text")
-    numbered = base.select("row", F.col(f"document.`{id_col}`").alias("id")).join(found, "row")
-    first = numbered.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "row")).alias("first"))
-    kept = written(first.select(F.col("first.row").alias("row")), "join-kept")
-    return base.join(kept, "row", "left_semi").select("document.*")
+    found = written(clusters(base.select("row", F.col(f"document.{quoted(text_col)}").alias("text")), width, threshold, "row", "text"), "join-found")
+    numbered = base.select("row", F.col(f"document.{quoted(id_col)}").alias("id")).join(found, "row")
+    first = numbered.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("null"), "id", "row")).alias("first"), F.count("*").alias("held"))
+    found, first = found.select("row", "component_id"), first.where("held > 1").select("component_id", F.col("first.row").alias("stays"))
+    gone = written(found.join(first, "component_id").where("row <> stays").select("row"), "join-gone")  # fewer than stay, mostly
+    return base.join(gone, "row", "left_anti").select("document.*")
 
 
 #: Components by comparing every pair that shares a shingle, for an engine without this module and small tables.

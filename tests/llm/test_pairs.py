@@ -6,9 +6,12 @@ import re
 from collections import Counter, defaultdict
 from fractions import Fraction
 
+import numpy as np
+import pyarrow as pa
 import pytest
 
-from quarrow.llm import jaccard_join, suffix_dedup
+from quarrow.llm import jaccard_join, suffix_dedup, words
+from quarrow.llm.common import id_and_text
 
 from ..conftest import DATA
 from .conftest import pairs
@@ -87,6 +90,25 @@ def test_one_of_each_group_stays(odd, copies):
         assert len(words) == len(set(words)) and {w for w in words if w is not None} == groups
 
 
+def test_sets_that_share_enough_are_found(spark, copies):
+    rng = random.Random(6)
+    rows = pairs(copies) + [(1000 + k, " ".join(rng.choice("abc") + str(rng.randint(0, 400)) for _ in range(rng.randint(3, 40)))) for k in range(300)]
+    rows += [(2000, rows[300][1]), (2001, None), (2002, "")]
+    like = jaccard_join.Similarity(Fraction(4, 5), 2)
+    data = id_and_text(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), "doc_id", "text")
+    found = {(r["f1"], r["f2"]) for r in jaccard_join._candidates(data, like).collect()}
+    sets, texts = {}, Counter()
+    for _, text in rows:
+        h, first = words.distinct(*words.shingles(*words.word_hashes(pa.array([text])), 2))
+        if len(h):
+            f1, f2 = jaccard_join._hashes(h, first)
+            sets[int(f1[0]), int(f2[0])] = h.tolist()
+            texts[int(f1[0]), int(f2[0])] += 1
+    held = Counter(x for h in sets.values() for x in h)
+    want = {k for k, h in sets.items() if sum(held[x] > 1 for x in h) >= like.least_overlap(np.array([len(h)]))[0]}
+    assert want <= found <= want | {k for k, n in texts.items() if n > 1} and want and len(found) < len(sets)
+
+
 def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(k, k + 1) for k in range(100)] + [(500, 501)], "a long, b long")
     found = {r["node"]: r["root"] for r in jaccard_join.components(edges).collect()}
@@ -112,8 +134,8 @@ def without_repeats(rows, length):
 @pytest.fixture(scope="module")
 def passages(spark):
     rng = random.Random(8)
-    words = lambda n: " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 7))) for _ in range(n))
-    shared = [words(rng.randint(30, 90)) for _ in range(10)]
+    said = lambda n: " ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 7))) for _ in range(n))
+    shared = [said(rng.randint(30, 90)) for _ in range(10)]
     rows = []
     for k in range(120):
         text = ""
@@ -121,7 +143,7 @@ def passages(spark):
             part = rng.choice(shared)
             cut = rng.random()
             part = part[rng.randint(0, 60) :] if cut < 0.3 else part[: len(part) - rng.randint(0, 60)] if cut < 0.5 else part[:40] + "#" + part[41:] if cut < 0.6 else part
-            text += words(rng.randint(0, 20)) + part
+            text += said(rng.randint(0, 20)) + part
         rows.append((k, text))
     rows += [(500, "a" * 1000), (501, "ab" * 300), (503, "x" * 199), (504, "x" * 200), (505, "y" * 200), (506, "y" * 200), (507, "Orre " * 100)]
     return spark.createDataFrame(rows, "doc_id long, text string")
