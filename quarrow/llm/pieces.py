@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import blocks
+from .common import blocks, given_back
 
 #: Bytes of text and distinct pre-tokens that end a shard; bytes of text for each bucket.
 SHARD_BYTES, SHARD_PIECES, BUCKET_BYTES = 16 << 20, 200_000, 8 << 20
@@ -172,6 +172,8 @@ def by_pieces(data: DataFrame, cutter: Callable, worker: Callable, fold: Callabl
             flat, _ = gathered(data, start, sizes, pieces)
             columns = [squeezed(flat.tobytes()), zipped(sizes[pieces]), numbers]
             yield pa.record_batch([pa.array([shard], pa.int64()), *[pa.array([c], pa.binary()) for c in columns]], names=["shard", "about", "sizes", "numbers"])
+        asked.clear(), order.clear(), done.clear()
+        given_back()
 
     def parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for shard, block, counts, extra, found, numbers in shards(batches):
