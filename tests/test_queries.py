@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import threading
 
 import duckdb
 import pyarrow.parquet as pq
@@ -65,6 +66,37 @@ def test_joins_aggregates_and_nulls_of_small_tables(engine):
     assert engine.query(holed + " NULLS FIRST").read_all().column(0).to_pylist() == gaps + some
 
 
+def test_range_join_passes_over_equal_values(spark, tmp_path):
+    """One group with 200,000 equal values: compared one by one they are 40 billion pairs, none of them in range."""
+    columns = "id AS p_partkey, 1 AS p_size, CASE WHEN id < 200000 THEN 900.0D ELSE 900.5D END AS p_retailprice"
+    spark.range(200_003).selectExpr(*columns.split(", ")).write.parquet(f"{tmp_path}/part.parquet")
+    late = threading.Timer(60, spark.sparkContext.cancelAllJobs)
+    late.start()
+    try:
+        found = plans.queries()["ext_range_join"](spark, str(tmp_path)).selectExpr("count(*)", "sum(a)", "sum(b)").first()
+    finally:
+        late.cancel()
+    assert tuple(found) == (600_000, 3 * sum(range(200_000)), 200_000 * 600_003)
+
+
+@pytest.mark.parametrize("width", [1, 0.1, 3.7])
+def test_range_join_of_odd_values(spark, width):
+    from quarrow.operators import range_join
+
+    nan, inf = math.nan, math.inf
+    odd = [None, nan, inf, -inf, 0.0, -0.0, 5e-324, -5e-324, -1e-17, 1e300, -1e300, 2.0**53, 2.0**53 - 1, 2.0**53 + 2, -(2.0**53), 1e19, 0.1, 0.2, 0.30000000000000004, 0.7, 0.9999999999999999, 1.0, 1.1, 3.7, 3.6999999999999997, 900.9, 901.0, 901.9, 901.9]
+    rows = [(k, g, v) for k, (g, v) in enumerate((g, v) for g in (None, 1, 2) for v in odd)]
+    rows += [(1000 + k, 7, 4.0) for k in range(1500)] + [(3000 + k, 7, 4.0 + k * width / 3) for k in range(5)]
+    df = spark.createDataFrame(rows, "id long, g int, v double")
+    found = range_join(df.withColumnsRenamed({"id": "a"}), df.selectExpr("id AS b", "g", "v", "nullif(id % 2, 0) AS odd"), "v", "g", width).collect()
+    less = lambda x, y: not math.isnan(x) and (math.isnan(y) or x < y)
+    held = [r for r in rows if r[1] is not None and r[2] is not None]
+    wanted = [(a, b, b % 2 or None) for a, g, x in held for b, h, y in held if g == h and less(x, y) and less(y, x + width)]
+    assert sorted(map(tuple, found), key=repr) == sorted(wanted, key=repr)
+    with pytest.raises(ValueError):
+        range_join(df, df, "v", "g", 0)
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     plan = plans.queries()["filter_and_order"](spark, FOLDER)._jdf.queryExecution().executedPlan().toString()
     assert "p_size" in plan.split("PushedFilters")[1].split("ReadSchema")[0] and "p_brand" not in plan.split("ReadSchema")[1]
