@@ -46,7 +46,8 @@ def written(df: DataFrame, name: str, release: bool = True) -> DataFrame:
 
     Lineage ends there, so a lost executor costs at most the tasks that ran on
     it. The table is removed when the driver's JVM ends. ``release``: shuffle
-    files of the plan go now; not worth the time after small ones.
+    files of the plan and the executors' unused heap go now; not worth the time
+    after small ones.
     """
     spark = df.sparkSession
     target = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
@@ -59,9 +60,21 @@ def written(df: DataFrame, name: str, release: bool = True) -> DataFrame:
 
 
 def released(spark: SparkSession) -> None:
-    """Let the context's cleaner delete shuffle files that no plan refers to any more."""
+    """Let the context's cleaner delete shuffle files that no plan refers to any more.
+
+    Executors collect their garbage, too: a JVM's heap grows to its limit long
+    before it is needed, and only a full collection gives the rest back.
+    """
     gc.collect()
     spark._jvm.System.gc()
+    heaps_given_back(spark, spark.sparkContext._jsc.sc().getExecutorMemoryStatus().size() - 1)
+
+
+def heaps_given_back(spark: SparkSession, executors: int) -> None:
+    """Run a full collection in so many tasks at once, which idle executors get one each; none without executors."""
+    if executors > 0:
+        calls = spark.range(0, executors, 1, executors).selectExpr("reflect('java.lang.System', 'gc')")
+        calls.write.format("noop").mode("overwrite").save()
 
 
 def dropped(df: DataFrame) -> None:

@@ -85,3 +85,14 @@ def test_queries_are_registered():
 
     names = set(__spark_entry__.queries())
     assert "pipeline" in names and all(any(n.startswith(f"op{k}_") for n in names) for k in range(1, 11))
+
+
+def test_executors_give_heap_back(spark):
+    from quarrow.llm.common import heaps_given_back
+
+    full = next(b for b in spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans() if "Young" not in b.getName() and "Scavenge" not in b.getName() and "Copy" not in b.getName())
+    before = full.getCollectionCount()
+    heaps_given_back(spark, 0)
+    assert full.getCollectionCount() == before
+    heaps_given_back(spark, 1)  # tasks run in this JVM here
+    assert full.getCollectionCount() > before
